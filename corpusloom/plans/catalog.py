@@ -48,7 +48,7 @@ def s1_lyrics_csv(spark, folder):
         "lang",
         "doc_id",
     )
-    ordered = rows.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").drop("doc_id")
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").drop("doc_id")
     ordered.write.csv(
         path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
@@ -104,7 +104,7 @@ def s5_id_list(spark, folder):
 def s6_text_tree(spark, folder):
     """Documents written one per file under a folder per source, and read back."""
     path = scratch_dir(spark, "song-tree")
-    rows = load(spark, folder, "documents").select("source", "text")
+    rows = spread(load(spark, folder, "documents")).select("source", "text")
     rows.write.option("maxRecordsPerFile", 1).partitionBy("source").text(path)
     return readers.read_text_tree(spark, path).select("artist", "text")
 
