@@ -88,7 +88,10 @@ def _path_part(index: int) -> Column:
 
 
 def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
-    """``artist, song, text`` from ``root/<artist>/<song>.txt``; files directly under the root are skipped."""
+    """``artist, song, text`` from ``root/<artist>/<song>.txt``; files directly under the root are skipped.
+
+    Spark's file listing leaves out empty files and names that begin with ``_`` or ``.``.
+    """
     return spark.read.text(f"{root.rstrip('/')}/*/*", wholetext=True).select(
         _path_part(-2).alias("artist"),
         F.regexp_replace(_path_part(-1), r"\.txt$", "").alias("song"),
