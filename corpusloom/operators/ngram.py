@@ -21,9 +21,8 @@ def _pairs(ids: Column) -> Column:
 
 def fit_ngram(df: DataFrame, ids: str = "ids") -> DataFrame:
     """``a, b, n``: adjacent id pairs and how often they occur, combined before the shuffle."""
-    return (
-        df.select(F.inline(_pairs(F.col(ids))).alias("a", "b")).groupBy("a", "b").agg(F.count("*").alias("n"))
-    )
+    pairs = df.select(F.inline_outer(_pairs(F.col(ids))).alias("a", "b")).where("a IS NOT NULL")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def merge_ngram(background: DataFrame, domain: DataFrame) -> DataFrame:
@@ -55,7 +54,8 @@ def document_loss(
     hot = counts.where(F.col("n") * HOT_SHARE >= total).withColumnRenamed("n", "n_hot")
     pairs = (
         df.select(key, F.slice(ids, 1, context).alias("_cut"))
-        .select(key, F.size("_cut").alias("n"), F.inline(_pairs(F.col("_cut"))).alias("a", "b"))
+        .select(key, F.size("_cut").alias("n"), F.inline_outer(_pairs(F.col("_cut"))).alias("a", "b"))
+        .where("a IS NOT NULL")
         .join(F.broadcast(hot), ["a", "b"], "left")
     )
     cold = F.col("n_hot").isNull()

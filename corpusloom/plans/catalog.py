@@ -11,7 +11,7 @@ from ..functions import fixed, text as tx
 from ..functions.dialog import extract_reply
 from ..functions.tokens import pretokenize, token_count
 from ..operators import batches, dialogs, filters, ngram, scoring, splits, vocab
-from ..session import land, scratch_dir, spread
+from ..session import land, once, scratch_dir, spread
 from ..sources import readers, writers
 from ..streaming.chat import chat_history_stream
 from . import evaluation
@@ -171,8 +171,8 @@ def f5_group_holdout(spark, folder):
 
 @query
 def f6_budget(spark, folder):
-    counted = texts(spark, folder).select("doc_id", token_count(F.col("text")).alias("n_tokens"))
-    return filters.within_budget(counted)
+    counted = once(texts(spark, folder), "n_tokens", token_count(F.col("text")))
+    return filters.within_budget(counted).select("doc_id", "n_tokens")
 
 
 @query
@@ -421,13 +421,17 @@ def _encoded_lyrics(spark, folder):
 
 
 def _models(spark, folder):
-    """Test documents, vocabulary size, and the counts of a background and of an adapted model."""
+    """Test documents, vocabulary size, and the counts of a background and of an adapted model.
+
+    Ids are kept as a table: both models and the losses start from them, not from the texts.
+    """
     rows, words = _encoded_lyrics(spark, folder)
+    rows = land(rows, "ids")
     passages = load(spark, folder, "benchmark").transform(tokenized)
     background = land(ngram.fit_ngram(vocab.encode_ids(passages, words, key="item_id")), "background")
     domain = ngram.fit_ngram(rows.where(~F.col("is_test")))
     adapted = land(ngram.merge_ngram(background, domain), "adapted")
-    return rows.where("is_test"), len(words.words), {"original": background, "finetuned": adapted}
+    return rows.where(F.col("is_test")), len(words.words), {"original": background, "finetuned": adapted}
 
 
 @query

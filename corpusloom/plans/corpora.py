@@ -12,6 +12,7 @@ from ..operators.dialogs import dialog_strings
 from ..operators.filters import keep_language, keep_listed, keep_nonnull
 from ..operators.splits import group_holdout, tail_holdout
 from ..operators.vocab import Vocab, to_blocks
+from ..session import once
 
 
 def titled_lyrics(
@@ -38,8 +39,8 @@ def titled_lyrics(
 
 
 def tokenized(df: DataFrame, text: str = "text", lower: bool = True, reserved=()) -> DataFrame:
-    """Add ``tokens``."""
-    return df.withColumn("tokens", pretokenize(F.col(text), lower, reserved))
+    """Add ``tokens``, computed once."""
+    return once(df, "tokens", pretokenize(F.col(text), lower, reserved))
 
 
 def lyrics_examples(df: DataFrame, vocab: Vocab, order: str = "ordinal", block: int = fixed.BLOCK, **options) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions.tokens import pretokenize, token_count
 from ..operators.filters import within_budget
 from ..operators.scoring import match_score
 from ..operators.splits import group_holdout
+from ..session import once
 from .corpora import titled_lyrics
 
 MODELS = ("original", "finetuned")
@@ -20,7 +21,7 @@ MODELS = ("original", "finetuned")
 
 def _in_budget(rows: DataFrame, new: int, context: int) -> DataFrame:
     """Count input tokens once, keep what leaves room for ``new`` more."""
-    counted = rows.withColumn("n_tokens", token_count(F.col("input")))
+    counted = once(rows, "n_tokens", token_count(F.col("input")))
     return within_budget(counted, "n_tokens", new, context)
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Token arrays cross to Python in Arrow batches counted in rows, so rows per batch bound the batch
 # size: 1,000 documents of 20,000 words are about 160 MB.
@@ -50,6 +51,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters and steps read without computing it again.
+
+    A projected expression is copied into every filter and generator above it, and those filters sink
+    below exchanges to the scan. A one-element generator is the border they do not cross.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
+
+
 def land(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several later steps read, and read it back.
 
