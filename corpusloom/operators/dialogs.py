@@ -82,15 +82,21 @@ def dialog_strings(
     text: str = "text",
     role: str | None = None,
     width: int = WIDTH,
+    first_turns: int | None = None,
 ) -> DataFrame:
     """The training string of every conversation, as ``out``.
 
-    Speakers alternate by position; give ``role`` to take them from that column instead.
+    Speakers alternate by position; give ``role`` to take them from that column instead. A caller that
+    only needs the string of the ``first_turns`` turns says so, and later chunks never reach the
+    conversation's row.
     """
+    chunks = _tagged_chunks(turns, conv, turn, text, role, width)
+    if first_turns is not None:
+        left = F.lit(first_turns) - F.col("start")
+        chunks = chunks.where(F.col("start") < first_turns).withColumn("pieces", F.slice("pieces", F.lit(1), left))
     part = F.struct("chunk", F.array_join("pieces", "").alias("piece"))
     return (
-        _tagged_chunks(turns, conv, turn, text, role, width)
-        .groupBy(conv)
+        chunks.groupBy(conv)
         .agg(F.sort_array(F.collect_list(part)).alias("parts"))
         .select(conv, F.concat(F.lit(fixed.CLS), F.array_join("parts.piece", "")).alias("out"))
     )

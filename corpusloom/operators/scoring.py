@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from .lookup import salted_lookup
 
-# Largest vector table sent to every task, in floats (256 MB), and in rows.
-BROADCAST_FLOATS = 64_000_000
+# Largest vector table sent to every task, in numbers (160 MB of floats), and in rows.
+BROADCAST_FLOATS = 40_000_000
 BROADCAST_VECTORS = 500_000
 # Rows of one similarity block: a pair of very long texts never builds its whole matrix.
 BLOCK_ROWS = 512
@@ -123,7 +123,10 @@ def match_score(
 
 
 def _small_table(vectors: DataFrame, floats: int) -> tuple[pa.Array, np.ndarray] | None:
-    """The vector table as tokens and a unit matrix, or None when it is too large to send around."""
+    """Tokens and vectors, or None when there are too many to send to every task.
+
+    The matrix has one more row, all zero, that stands for tokens without a vector.
+    """
     first = vectors.select(F.size("vector").alias("dim")).first()
     width = first.dim if first else 1
     allowed = min(BROADCAST_VECTORS, floats // width)
@@ -131,7 +134,8 @@ def _small_table(vectors: DataFrame, floats: int) -> tuple[pa.Array, np.ndarray]
     if found.num_rows > allowed:
         return None
     flat = found["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return found["token"].combine_chunks(), _unit(flat.astype(np.float64).reshape(-1, width))
+    matrix = np.vstack([flat.reshape(-1, width), np.zeros((1, width), flat.dtype)])
+    return found["token"].combine_chunks(), matrix
 
 
 def _score_in_place(
@@ -142,17 +146,15 @@ def _score_in_place(
     @F.arrow_udf("precision double, recall double")
     def best_match(cand: pa.Array, ref: pa.Array) -> pa.Array:
         tokens, matrix = shared.value
-        # one more row, all zero, stands for tokens without a vector
-        padded = np.vstack([matrix, np.zeros((1, matrix.shape[1]))])
         sides = []
         flats = cand.flatten(), ref.flatten()
         codes = _codes(*flats)
         for lists, flat, code in zip((cand, ref), flats, codes):
-            row = pc.fill_null(pc.index_in(flat, value_set=tokens.cast(flat.type)), len(matrix))
+            row = pc.fill_null(pc.index_in(flat, value_set=tokens.cast(flat.type)), len(tokens))
             ends = np.cumsum(_cells(lists)[0])[:-1]
             sides.append((np.split(code, ends), np.split(row.to_numpy(zero_copy_only=False), ends)))
         scores = [
-            _mean_best(*_distinct(*left, padded), *_distinct(*right, padded))
+            _mean_best(*_distinct(*left, matrix), *_distinct(*right, matrix))
             for left, right in zip(zip(*sides[0]), zip(*sides[1]))
         ]
         precision, recall = zip(*scores) if scores else ((), ())
@@ -168,9 +170,9 @@ def _score_in_place(
 def _distinct(
     codes: np.ndarray, rows: np.ndarray, matrix: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct codes of one side, their counts and their vectors."""
+    """Distinct codes of one side, their counts and their unit vectors."""
     found, at, count = np.unique(codes, return_index=True, return_counts=True)
-    return found, count, matrix[rows[at]]
+    return found, count, _unit(matrix[rows[at]].astype(np.float64))
 
 
 def _score_by_join(

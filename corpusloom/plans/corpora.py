@@ -66,9 +66,11 @@ def chat_examples(
 ) -> DataFrame:
     """Listed conversations as speaker-tagged strings, in blocks.
 
-    ``reserve`` shortens the block by the marks a tokenizer would add, though none are added here.
+    ``reserve`` shortens the block by the marks a tokenizer would add, though none are added here. Every
+    turn is at least two tokens, its tag and its end mark, so turns past half the block are cut off
+    in any case and a very long conversation is never gathered whole.
     """
-    strings = dialog_strings(keep_listed(turns, ids, conv), conv, role=role)
+    strings = dialog_strings(keep_listed(turns, ids, conv), conv, role=role, first_turns=block // 2 + 1)
     marks = [*fixed.BASE_TOKENS, *fixed.SPEAKER_TOKENS]
     return to_blocks(tokenized(strings, "out", reserved=marks), vocab, block=block, reserve=reserve, key=conv)
 

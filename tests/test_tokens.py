@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import fixed
 from corpusloom.functions import tokens as tk
 from corpusloom.operators import vocab as vb
+from corpusloom.operators.dialogs import dialog_strings
 from corpusloom.plans.corpora import chat_examples, lyrics_examples, news_examples, song_examples, tokenized
 
 TEXTS = ["to be, or not to be", "", "日月 Its OK！ no", "be be be", None, "zebra　quay"]
@@ -160,3 +161,17 @@ def test_corpora_end_to_end(spark):
     kept = song_examples(tree, words, block=8).collect()
     assert sorted(r.artist for r in kept) == ["g00", "g01"]
     assert kept[0].input_ids[:5] == [2, ids["line"], 1, ids["one"], 3]
+
+
+def test_chat_block_of_a_long_conversation_equals_the_cut_of_its_whole_string(spark):
+    """Turns past half the block are left out early; empty utterances are the shortest a turn can be."""
+    rows = [(1, t, "") for t in range(600)] + [(2, t, f"word {t}") for t in range(400)] + [(3, 0, "one")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(4)
+    listed = spark.createDataFrame([(1,), (2,), (3,)], "conv_id long")
+    marks = [*fixed.BASE_TOKENS, *fixed.SPEAKER_TOKENS]
+    words = vb.build_vocab(tokenized(turns, reserved=marks), size=500)
+    for block in (10, 33, 700):
+        found = {r.conv_id: r.input_ids for r in chat_examples(turns, listed, words, block=block, reserve=0).collect()}
+        strings = tokenized(dialog_strings(turns), "out", reserved=marks)
+        whole = vb.to_blocks(strings, words, block=block, key="conv_id").collect()
+        assert found == {r.conv_id: r.input_ids for r in whole}
