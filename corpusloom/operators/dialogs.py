@@ -117,12 +117,26 @@ def chat_prompts(
     emitted by chunk, so one long conversation is spread over many tasks.
     """
     before = Window.partitionBy(conv).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = (
-        _tagged_chunks(turns, conv, turn, text, role, width)
-        .withColumn("history", F.array_join(F.collect_list(F.array_join("pieces", "")).over(before), ""))
-        .repartition(conv, "chunk")
+    if role is None:
+        asks = F.transform("items", lambda _, i: (F.col("start") + i) % 2 == 0)
+    else:
+        asks = F.transform("items", lambda item, _: item["role"] == "user")
+    chunks = _tagged_chunks(turns, conv, turn, text, role, width).select(
+        conv,
+        "start",
+        F.array_join(F.collect_list(F.array_join("pieces", "")).over(before), "").alias("history"),
+        "pieces",
+        F.col("items.turn").alias("turns"),
+        asks.alias("asks"),
     )
-    asks = (F.col("start") + F.col("i")) % 2 == 0 if role is None else F.col("item.role") == "user"
+    return emit_prompts(chunks, conv, turn)
+
+
+def emit_prompts(chunks: DataFrame, conv: str, turn: str, *keep: str) -> DataFrame:
+    """One prompt per asking turn of chunks ``conv, start, history, pieces, turns, asks``.
+
+    ``history`` is the tagged text before the chunk; the three arrays run over its turns.
+    """
     prompt = F.concat(
         F.lit(fixed.CLS),
         "history",
@@ -130,7 +144,8 @@ def chat_prompts(
         F.lit(fixed.SPEAKER_2),
     )
     return (
-        chunks.select(conv, "start", "history", "pieces", F.posexplode("items").alias("i", "item"))
-        .where(asks)
-        .select(conv, F.col("item.turn").alias(turn), prompt.alias("out"))
+        chunks.repartition(conv, "start")
+        .select(conv, "history", "pieces", "asks", *keep, F.posexplode("turns").alias("i", turn))
+        .where(F.get("asks", F.col("i")))
+        .select(conv, turn, prompt.alias("out"), *keep)
     )

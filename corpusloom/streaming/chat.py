@@ -9,45 +9,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import fixed
+from ..operators.dialogs import WIDTH, emit_prompts
 
-OUTPUT = "conv_id long, turn long, out string, n_late long"
-# history so far as one tagged string, its number of turns, the highest turn seen, late turns dropped
+# up to WIDTH new turns of a conversation and the tagged text before them
+CHUNK = {
+    "conv_id": "long",
+    "start": "long",
+    "history": "string",
+    "pieces": "array<string>",
+    "turns": "array<long>",
+    "asks": "array<boolean>",
+    "n_late": "long",
+}
+OUTPUT = ", ".join(f"{name} {kind}" for name, kind in CHUNK.items())
+# tagged text so far, its number of turns, the highest turn seen, late turns dropped
 STATE = "history string, n_turns long, last_turn long, n_late long"
-ROWS_PER_FRAME = 1_000
+FRESH = ("", 0, -1, 0)
 
 
-def _advance(
-    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Append this batch's turns in order and yield a prompt for each user turn."""
-    if state.hasTimedOut:
-        state.remove()
-        return
+def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Append this batch's turns in order; yield them in chunks with the history before each."""
     turns = pd.concat(frames).sort_values("turn", kind="stable")
-    history, n_turns, last, late = state.get if state.exists else (fixed.CLS, 0, -1, 0)
+    history, start, last, late = state.get if state.exists else FRESH
+    pieces: list[str] = []
+    numbers: list[int] = []
+
+    def chunk() -> pd.DataFrame:
+        asks = [(start + i) % 2 == 0 for i in range(len(pieces))]
+        row = [key[0], start, history, pieces, numbers, asks, late]
+        return pd.DataFrame([row], columns=list(CHUNK))
+
     alive = state.exists
-    prompts = []
-    for turn, text in zip(turns["turn"], turns["text"]):
+    for turn, text in zip(turns["turn"].tolist(), turns["text"].tolist()):
         if turn <= last:
             late += 1
             continue
-        last = turn
-        if text == fixed.EXIT_WORD:
-            history, n_turns, last, late, alive = fixed.CLS, 0, -1, 0, False
+        ended = text == fixed.EXIT_WORD
+        if pieces and (ended or len(pieces) == WIDTH):
+            yield chunk()
+            history, start = history + "".join(pieces), start + len(pieces)
+            pieces, numbers = [], []
+        if ended:
+            history, start, last, late = FRESH
+            alive = False
             continue
-        speaker = fixed.SPEAKER_TOKENS[n_turns % 2]
-        history += speaker + ("" if text is None else text) + fixed.SEP
-        n_turns += 1
-        alive = True
-        if speaker == fixed.SPEAKER_1:
-            prompts.append((key[0], turn, history + fixed.SPEAKER_2, late))
-        if len(prompts) == ROWS_PER_FRAME:
-            yield pd.DataFrame(prompts, columns=["conv_id", "turn", "out", "n_late"])
-            prompts = []
-    if prompts:
-        yield pd.DataFrame(prompts, columns=["conv_id", "turn", "out", "n_late"])
+        speaker = fixed.SPEAKER_TOKENS[(start + len(pieces)) % 2]
+        pieces.append(speaker + (text or "") + fixed.SEP)
+        numbers.append(turn)
+        last, alive = turn, True
+    if pieces:
+        yield chunk()
     if alive:
-        state.update((history, int(n_turns), int(last), int(late)))
+        state.update((history + "".join(pieces), start + len(pieces), last, late))
     elif state.exists:
         state.remove()
 
@@ -56,12 +69,15 @@ def chat_history_stream(turns: DataFrame) -> DataFrame:
     """``conv_id, turn, out, n_late`` from a stream of ``conv_id, turn, text``.
 
     Speakers alternate by position. The utterance ``exit`` ends the session and is not kept. A turn not
-    higher than the last one seen is late: it is dropped and counted in ``n_late``. Turns of one
-    conversation must reach the stream in batches that follow their order. The state holds the
-    history as the tagged string it will be sent as, so a turn costs one append.
+    higher than the last one seen is late: it is dropped and counted in ``n_late``, so the turns of one
+    conversation must reach the stream in batches that follow their order.
+
+    Python only keeps the state: it passes on the new turns and the history before them. The prompts,
+    each of which repeats the whole history, are written out by Spark, spread by chunk.
     """
-    return (
+    chunks = (
         turns.select("conv_id", "turn", "text")
         .groupBy("conv_id")
         .applyInPandasWithState(_advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
     )
+    return emit_prompts(chunks, "conv_id", "turn", "n_late")
