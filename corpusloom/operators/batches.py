@@ -35,14 +35,14 @@ def shuffle_batches(
         .select("epoch", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
     inside = F.row_number().over(Window.partitionBy("epoch", "_bucket").orderBy("_draw", key)) - 1
-    rank = F.col("_offset") + F.col("_inside")
     return (
         rows.withColumn("_inside", inside)
         .join(offsets, ["epoch", "_bucket"])
+        .withColumn("_rank", F.col("_offset") + F.col("_inside"))
         .select(
             "epoch",
-            F.floor(rank / batch_size).alias("step"),
-            (rank % batch_size).cast("int").alias("slot"),
+            F.expr(f"_rank div {batch_size}").alias("step"),
+            (F.col("_rank") % batch_size).cast("int").alias("slot"),
             key,
         )
     )

@@ -17,7 +17,8 @@ WIDTH = 256
 
 
 def _chunk_of(turn: str, width: int) -> Column:
-    return F.floor(F.col(turn) / width).alias("chunk")
+    """The first turn number of the chunk a turn falls in."""
+    return (F.col(turn) - F.pmod(F.col(turn), F.lit(width))).alias("chunk")
 
 
 def _chunks(turns: DataFrame, conv: str, turn: str, text: str, role: str | None, width: int) -> DataFrame:

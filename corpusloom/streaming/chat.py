@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -27,8 +26,13 @@ STATE = "history string, n_turns long, last_turn long, n_late long"
 FRESH = ("", 0, -1, 0)
 
 
-def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _advance(
+    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, idle_ms: int | None
+) -> Iterator[pd.DataFrame]:
     """Append this batch's turns in order; yield them in chunks with the history before each."""
+    if state.hasTimedOut:
+        state.remove()
+        return
     turns = pd.concat(frames).sort_values("turn", kind="stable")
     history, start, last, late = state.get if state.exists else FRESH
     pieces: list[str] = []
@@ -61,23 +65,36 @@ def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
         yield chunk()
     if alive:
         state.update((history + "".join(pieces), start + len(pieces), last, late))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
     elif state.exists:
         state.remove()
 
 
-def chat_history_stream(turns: DataFrame) -> DataFrame:
+def _keep_history(idle_ms: int | None):
+    """The state function; Spark passes it exactly three arguments."""
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        return _advance(key, frames, state, idle_ms)
+
+    return step
+
+
+def chat_history_stream(turns: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """``conv_id, turn, out, n_late`` from a stream of ``conv_id, turn, text``.
 
     Speakers alternate by position. The utterance ``exit`` ends the session and is not kept. A turn not
     higher than the last one seen is late: it is dropped and counted in ``n_late``, so the turns of one
-    conversation must reach the stream in batches that follow their order.
+    conversation must reach the stream in batches that follow their order. With ``idle_ms`` a session
+    without a turn for that long (processing time) ends and frees its state.
 
     Python only keeps the state: it passes on the new turns and the history before them. The prompts,
     each of which repeats the whole history, are written out by Spark, spread by chunk.
     """
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     chunks = (
         turns.select("conv_id", "turn", "text")
         .groupBy("conv_id")
-        .applyInPandasWithState(_advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+        .applyInPandasWithState(_keep_history(idle_ms), OUTPUT, STATE, "append", timeout)
     )
     return emit_prompts(chunks, "conv_id", "turn", "n_late")

@@ -10,28 +10,40 @@ from corpusloom.streaming.chat import chat_history_stream
 SCHEMA = "conv_id long, turn long, text string"
 
 
+SETTINGS = {
+    "spark.sql.shuffle.partitions": "2",
+    # a processing-time timeout would ask for one empty batch after another and never come to an end
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
 @pytest.fixture
 def run(spark, tmp_path):
     source = str(tmp_path / "in")
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
 
     def feed(rows):
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
 
-    def drain():
+    def drain(idle_ms=None):
         stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
         running = (
-            chat_history_stream(stream)
+            chat_history_stream(stream, idle_ms)
             .writeStream.format("parquet")
             .option("path", str(tmp_path / "out"))
             .option("checkpointLocation", str(tmp_path / "state"))
             .trigger(availableNow=True)
             .start()
         )
-        running.awaitTermination()
+        assert running.awaitTermination(60)
         rows = spark.read.parquet(str(tmp_path / "out")).collect()
         return {(r.conv_id, r.turn): (r.out, r.n_late) for r in rows}
 
-    return feed, drain
+    yield feed, drain
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 def test_stream_equals_batch_over_restarts(spark, run):
@@ -57,3 +69,13 @@ def test_exit_clears_and_late_turns_are_counted(run):
     drain()
     feed([(1, 4, "new")])
     assert drain()[1, 4] == ("[CLS][speaker1]new[SEP][speaker2]", 0)
+
+
+def test_idle_sessions_end(run):
+    feed, drain = run
+    feed([(1, 0, "a"), (1, 1, "b")])
+    drain(idle_ms=1)
+    feed([(2, 0, "x")])
+    drain(idle_ms=1)
+    feed([(1, 2, "c")])
+    assert drain(idle_ms=1)[1, 2][0] == "[CLS][speaker1]c[SEP][speaker2]"
