@@ -36,9 +36,8 @@ def query(fn: Query) -> Query:
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
-@query
-def s1_lyrics_csv(spark, folder):
-    """Documents written as quoted multi-line CSV in document order, and read back."""
+def _lyrics_files(spark, folder):
+    """Documents written as quoted multi-line CSV, in document order over the files."""
     path = scratch_dir(spark, "lyrics-csv")
     rows = load(spark, folder, "documents").select(
         F.lit("a").alias("link"),
@@ -52,7 +51,17 @@ def s1_lyrics_csv(spark, folder):
     ordered.write.csv(
         path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    return readers.read_lyrics_csv(spark, path)
+    return path
+
+
+@query
+def s1_lyrics_csv(spark, folder):
+    return readers.read_lyrics_csv(spark, _lyrics_files(spark, folder))
+
+
+@query
+def s1_lyrics_csv_parallel(spark, folder):
+    return readers.read_lyrics_csv(spark, _lyrics_files(spark, folder), splittable=True)
 
 
 @query

@@ -162,10 +162,13 @@ SELECT conv_id, turn, out FROM (SELECT conv_id, turn, pos, {_history('by_pos')}
 SEGMENTS = f"string_split(text, {NL})"
 INPUT = f"array_to_string(p[1:len(p) - 1], {NL}) || {NL}"
 
+NUMBERED = """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, source AS title, text AS body, lang FROM documents"""
+
 ORACLE: dict[str, str] = {
     # sources and sinks
-    "s1_lyrics_csv": """
-        SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, source AS title, text AS body, lang FROM documents""",
+    "s1_lyrics_csv": NUMBERED,
+    "s1_lyrics_csv_parallel": NUMBERED,
     "s2_preview": "SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 5",
     "s3_json_records": "SELECT text AS output FROM documents",
     "s4_dialogs_json": """

@@ -40,19 +40,88 @@ def _numbered(df: DataFrame) -> DataFrame:
     return tagged.join(splits, ["_file", "_at"]).select(ordinal, *df.columns)
 
 
+def _split_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``ordinal`` and fields of quoted multi-line CSV files with headers, read in parallel.
+
+    A line starts a record when an even number of quotes precedes it in its file. Parity and record
+    numbers are running sums inside an input split; what precedes a split comes from one row per
+    split, which counts record starts for both parities the split may begin with.
+    """
+    order = Window.partitionBy("_file", "_at").orderBy("_row")
+    passed = order.rowsBetween(Window.unboundedPreceding, -1)
+    lines = (
+        spark.read.text(path, lineSep="\n")
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_at"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        .withColumn("_quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+        .withColumn("_parity", F.coalesce(F.sum("_quotes").over(passed), F.lit(0)) % 2)
+    )
+    in_file = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    in_all = Window.orderBy("_file", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        lines.groupBy("_file", "_at")
+        .agg(
+            F.sum("_quotes").alias("_quotes"),
+            F.count_if(F.col("_parity") == 0).alias("_even"),
+            F.count_if(F.col("_parity") == 1).alias("_odd"),
+        )
+        .withColumn("_enters", F.coalesce(F.sum("_quotes").over(in_file), F.lit(0)) % 2)
+        .withColumn("_starts", F.when(F.col("_enters") == 0, F.col("_even")).otherwise(F.col("_odd")))
+        .select(
+            "_file",
+            "_at",
+            "_enters",
+            F.coalesce(F.sum("_starts").over(in_file), F.lit(0)).alias("_in_file"),
+            F.coalesce(F.sum("_starts").over(in_all), F.lit(0)).alias("_in_all"),
+            F.dense_rank().over(Window.orderBy("_file")).alias("_headers"),
+        )
+    )
+    starts = (F.col("_parity") == F.col("_enters")).cast("long")
+    inside = F.sum(starts).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    records = (
+        lines.join(splits, ["_file", "_at"])
+        .withColumn("_inside", inside)
+        .where(F.col("_in_file") + F.col("_inside") > 1)
+        .groupBy((F.col("_in_all") + F.col("_inside") - 1 - F.col("_headers")).alias("ordinal"))
+        .agg(F.sort_array(F.collect_list(F.struct("_at", "_row", "value"))).alias("_lines"))
+    )
+    text = F.regexp_replace(F.array_join("_lines.value", "\n"), r"\r$", "")
+    fields = F.from_csv("_text", F.lit(schema), {"quote": '"', "escape": '"', "multiLine": "true"})
+    filled = records.select("ordinal", text.alias("_text")).where(F.col("_text") != "")
+    return filled.select("ordinal", fields.alias("_fields")).select("ordinal", "_fields.*")
+
+
 def read_lyrics_csv(
-    spark: SparkSession, path: str, title_at: int = 1, body_at: int = 3, lang_at: int = 4
+    spark: SparkSession,
+    path: str,
+    title_at: int = 1,
+    body_at: int = 3,
+    lang_at: int = 4,
+    splittable: bool = False,
 ) -> DataFrame:
     """``ordinal, title, body, lang`` from a CSV with a header and quoted multi-line bodies.
 
     Columns are found by position. An empty field is missing; the words ``NA`` and ``None`` are text.
+    ``ordinal`` follows file name and place in the file. A file is read by one task, unless
+    ``splittable`` says that every quote in it follows the quoting rule (quoted fields, doubled quotes
+    inside); then a file of any size is read in parallel.
     """
     width = max(title_at, body_at, lang_at) + 1
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    raw = spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    if splittable:
+        rows = _split_csv(spark, path, schema)
+    else:
+        raw = spark.read.schema(schema).csv(
+            path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8"
+        )
+        rows = _numbered(raw)
     places = {"title": title_at, "body": body_at, "lang": lang_at}
     fields = [F.nullif(F.col(f"c{at}"), F.lit("")).alias(name) for name, at in places.items()]
-    return _numbered(raw).select("ordinal", *fields)
+    return rows.select("ordinal", *fields)
 
 
 def preview(df: DataFrame, n: int = 5, order: str = "ordinal") -> DataFrame:

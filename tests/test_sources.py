@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,15 +17,18 @@ CSV = (
     '/a,"Say ""hi""",/x,"one\n\ntwo, three",en,1\n'
     "/b,None,/x,NA,fr,1\n"
     '/c,,/x,"",,1\n'
+    "\n"
     '/d,Tail,/x,"a\r\nb \\ ""q""",en,1\n'
 )
 
 
-def test_lyrics_csv(spark, tmp_path):
+@pytest.mark.parametrize("splittable", [False, True])
+def test_lyrics_csv(spark, tmp_path, splittable):
     path = tmp_path / "lyrics.csv"
     path.write_bytes(CSV.encode())
-    rows = readers.read_lyrics_csv(spark, str(path)).orderBy("ordinal").collect()
-    assert [tuple(r) for r in rows] == [
+    rows = readers.read_lyrics_csv(spark, str(path), splittable=splittable).orderBy("ordinal").collect()
+    assert [r.ordinal for r in rows] == sorted({r.ordinal for r in rows})
+    assert [(i, *r[1:]) for i, r in enumerate(rows)] == [
         (0, 'Say "hi"', "one\n\ntwo, three", "en"),
         (1, "None", "NA", "fr"),
         (2, None, None, None),
@@ -45,6 +50,28 @@ def test_ordinals_follow_file_names_not_sizes(spark, tmp_path):
     assert [r.ordinal for r in rows] == list(range(len(expected)))
 
 
+def test_csv_cut_inside_quoted_bodies_reads_like_one_task(spark, tmp_path):
+    """Splits far smaller than a body, so that most begin inside quotes."""
+    rng = random.Random(1)
+    for name in ("a", "b"):
+        with (tmp_path / f"{name}.csv").open("w", newline="") as out:
+            table = csv.writer(out, lineterminator="\n")
+            table.writerow(["h0", "h1", "h2", "h3", "h4"])
+            for i in range(300):
+                lines = ["".join(rng.choices('ab ,"你\r', k=rng.randint(0, 60))) for _ in range(rng.randint(1, 40))]
+                table.writerow(["x", f'{name} "{i}"', "y", "\n".join(["b", *lines]), rng.choice(["en", "", "fr"])])
+    whole = readers.read_lyrics_csv(spark, str(tmp_path)).orderBy("ordinal").collect()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        cut = readers.read_lyrics_csv(spark, str(tmp_path), splittable=True)
+        assert cut.inputFiles() and spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+        found = cut.orderBy("ordinal").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 600 and found == whole
+
+
 def test_ordinals_over_many_splits_of_one_file(spark, tmp_path):
     path = tmp_path / "records.json"
     path.write_text("\n".join(json.dumps({"output": f"r{i}"}) for i in range(5000)) + "\n")
