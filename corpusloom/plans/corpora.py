@@ -43,13 +43,17 @@ def tokenized(df: DataFrame, text: str = "text", lower: bool = True, reserved=()
     return once(df, "tokens", pretokenize(F.col(text), lower, reserved))
 
 
-def lyrics_examples(df: DataFrame, vocab: Vocab, order: str = "ordinal", block: int = fixed.BLOCK, **options) -> DataFrame:
+def lyrics_examples(
+    df: DataFrame, vocab: Vocab, order: str = "ordinal", block: int = fixed.BLOCK, **options
+) -> DataFrame:
     """Titled lyrics of the training side, as blocks."""
     rows = titled_lyrics(df, order, **options).where(~F.col("is_test"))
     return to_blocks(tokenized(rows.select(order, "text")), vocab, block=block, key=order)
 
 
-def news_examples(df: DataFrame, vocab: Vocab, field: str = "output", key: str = "ordinal", block: int = fixed.BLOCK) -> DataFrame:
+def news_examples(
+    df: DataFrame, vocab: Vocab, field: str = "output", key: str = "ordinal", block: int = fixed.BLOCK
+) -> DataFrame:
     """News bodies that are present, wrapped in opening and closing marks inside the block."""
     rows = keep_nonnull(df, field).select(key, F.col(field).alias("text"))
     return to_blocks(tokenized(rows), vocab, block=block, wrap=True, key=key)

@@ -26,7 +26,8 @@ def test_encoding_and_exact_scores_do_not_shuffle(spark, sf_small):
     rows = tokenized(docs)
     words = vocab.build_vocab(rows, size=50)
     assert "Exchange" not in physical(vocab.to_blocks(rows, words, wrap=True))
-    pairs = docs.select("doc_id", pretokenize(F.col("text")).alias("cand_tokens"), F.array().cast("array<string>").alias("ref_tokens"))
+    none = F.array().cast("array<string>")
+    pairs = docs.select("doc_id", pretokenize(F.col("text")).alias("cand_tokens"), none.alias("ref_tokens"))
     assert "Exchange" not in physical(scoring.match_score(pairs, key="doc_id"))
 
 
