@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import once
+
 MOST_STRINGS = 16  # alternatives of a place before it is given up as no help
 CLASS_MEMBERS = 3  # members up to which a character class counts as alternatives
 
@@ -85,10 +87,11 @@ def trigram_query(pattern: str) -> list[list[list[str]]]:
 
 def postings(docs: DataFrame, trigrams: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``trigram, doc_id``: the inverted index of the given trigrams over lower-cased texts, one row for each pair."""
-    lowered = F.lower(F.col("_text"))
+    lowered = F.col("_low")
     found = F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(t)), F.lit(t)) for t in trigrams]))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    return rows.select("doc_id", F.explode(found).alias("trigram"))
+    # a border: each trigram looks at the lowered text, which must be made once
+    return once(rows, "_low", F.lower("_text")).select("doc_id", F.explode(found).alias("trigram"))
 
 
 def candidates(index: DataFrame, queries: dict[str, list[list[list[str]]]]) -> DataFrame:
@@ -148,7 +151,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id
         can = F.array_contains("kinds", rule.kind) if queries[rule.kind] else F.lit(True)
         can &= F.col("text").rlike(_sure(rule))
         parts.append(F.when(F.coalesce(can, F.lit(False)), rule_spans(F.col("text"), rule, number)).otherwise(none))
-    return joined.select("doc_id", F.array_sort(F.concat(*parts)).alias("found"))
+    # a border: what follows reads the spans several times, and they must be computed once
+    return once(joined.select("doc_id", "text", "kinds"), "found", F.array_sort(F.concat(*parts))).select("doc_id", "found")
 
 
 def _sure(rule: Rule) -> str:
