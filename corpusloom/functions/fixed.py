@@ -25,7 +25,10 @@ TEST_ROWS = 500
 HELD_OUT_GROUPS = 10
 EVALUATED_GROUPS = 1
 BLOCK = 1024
+MARKS = 2  # taken off a block for the marks of a tokenizer
 NEW_TOKENS = 100
 CONTEXT = 1024
 PROMPT_SEGMENTS = 10
 WARMUP_STEPS = 10
+BATCH = 4
+LEARNING_RATE = 3e-5

@@ -48,28 +48,23 @@ def shuffle_batches(
     )
 
 
-def steps_per_epoch(n: int, batch_size: int) -> int:
-    return -(-n // batch_size)
+def step_schedule(manifest: DataFrame, lr: float = fixed.LEARNING_RATE, warmup: int = fixed.WARMUP_STEPS) -> DataFrame:
+    """``step, epoch, lr`` of every step of a batch manifest: linear warm-up, then linear decay to zero after the last step.
 
-
-def step_schedule(
-    spark: SparkSession,
-    n: int,
-    batch_size: int = 4,
-    epochs: int = 1,
-    lr: float = 3e-5,
-    warmup: int = fixed.WARMUP_STEPS,
-) -> DataFrame:
-    """``step, epoch, lr``: linear warm-up, then linear decay to zero at the last step."""
-    per_epoch = steps_per_epoch(n, batch_size)
-    total = per_epoch * epochs
+    Steps are numbered through all epochs. The sizes of the epochs are read off the manifest's own rows; an
+    empty manifest has no step.
+    """
+    steps = manifest.select("epoch", "step").distinct()
+    sizes = steps.groupBy("epoch").agg((F.max("step") + 1).alias("_n"))
+    before = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("epoch", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    total = F.broadcast(sizes.agg(F.sum("_n").alias("_total")))
+    # one row an epoch
+    rows = steps.join(F.broadcast(starts), "epoch").join(total).withColumn("step", F.col("_start") + F.col("step"))
     step = F.col("step")
     rising = step / max(1, warmup)
-    falling = F.greatest(F.lit(0.0), (total - step) / max(1, total - warmup))
-    return spark.range(total).select(
-        F.col("id").alias("step"),
-        F.floor(F.col("id") / per_epoch).cast("int").alias("epoch"),
-    ).withColumn("lr", F.when(step < warmup, rising).otherwise(falling) * lr)
+    falling = F.greatest(F.lit(0.0), (F.col("_total") - step) / F.greatest(F.lit(1), F.col("_total") - warmup))
+    return rows.select("step", "epoch", (F.when(step < warmup, rising).otherwise(falling) * lr).alias("lr"))
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:

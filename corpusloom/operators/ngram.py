@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .vocab import BROADCAST_WORDS
+from ..session import land
 
 # A pair above one in HOT_SHARE of all counts is looked up by broadcast: there are at most that many.
 HOT_SHARE = 1_000
-SPREAD = 4_096
 
 
 def _pairs(ids: Column) -> Column:
@@ -38,45 +37,42 @@ def document_loss(
     ids: str = "ids",
     context: int = fixed.CONTEXT,
     k: float = 1.0,
+    model: str | None = None,
 ) -> DataFrame:
     """``key, loss, n``: mean negative log-likelihood of each document cut to the context.
 
     Add-``k`` smoothing over ``vocab_size`` words. A document of fewer than two tokens predicts nothing
-    and is left out. Pass ``counts`` as a written table: it is read for the pairs, for the contexts and
-    for the hot pairs. Contexts are bounded by the vocabulary and hot pairs by their share of the total,
-    so both are broadcast. Rows whose pair is already found travel under a key made from the document,
-    which keeps frequent pairs from gathering in one task of the join with the remaining counts.
+    and is left out. With ``model``, ``counts`` holds several models told apart by that column, all are
+    scored in one pass, and the result has it too. Pass ``counts`` as a written table: it is read more than once.
+
+    Pairs are counted per document first, so a document brings each of its pairs once. Pairs frequent in
+    the scored documents are what would crowd one task of the join, so they are the ones split: pairs above one
+    in ``HOT_SHARE`` of the scored ones, of which there are at most that many, get their counts by
+    broadcast. Contexts are met with the counts, once per distinct pair, before any document is.
     """
-    contexts = counts.groupBy("a").agg(F.sum("n").alias("n_context"))
-    if vocab_size <= BROADCAST_WORDS:
-        contexts = F.broadcast(contexts)
-    total = counts.agg(F.sum("n")).scalar()
-    hot = counts.where(F.col("n") * HOT_SHARE >= total).withColumnRenamed("n", "n_hot")
-    pairs = (
-        df.select(key, F.slice(ids, 1, context).alias("_cut"))
-        .select(key, F.size("_cut").alias("n"), F.inline_outer(_pairs(F.col("_cut"))).alias("a", "b"))
-        .where("a IS NOT NULL")
-        .join(F.broadcast(hot), ["a", "b"], "left")
-    )
-    cold = F.col("n_hot").isNull()
-    keyed = pairs.select(
-        key,
-        "n",
-        "a",
-        "n_hot",
-        F.when(cold, F.col("a")).otherwise(F.lit(-1)).alias("_a"),
-        F.when(cold, F.col("b")).otherwise(F.pmod(F.xxhash64(key), F.lit(SPREAD)).cast("int")).alias("_b"),
-    )
-    rest = counts.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("n").alias("n_cold"))
-    seen = F.coalesce("n_hot", "n_cold", F.lit(0))
-    likelihood = (seen + k) / (F.coalesce("n_context", F.lit(0)) + k * vocab_size)
-    return (
-        keyed.join(rest, ["_a", "_b"], "left")
-        .join(contexts, "a", "left")
-        .groupBy(key, "n")
-        .agg(F.avg(-F.ln(likelihood)).alias("loss"))
-        .select(key, "loss", "n")
+    by = [] if model is None else [model]
+    rows = df.select(key, F.slice(ids, 1, context).alias("_cut")).select(
+        key, F.size("_cut").alias("n"), F.inline_outer(_pairs(F.col("_cut"))).alias("a", "b")
     )
+    pairs = land(rows.where("a IS NOT NULL").groupBy(key, "n", "a", "b").agg(F.count("*").alias("tf")), "pairs")
+    scored = pairs.groupBy("a", "b").agg(F.count("*").alias("_docs"))
+    total = scored.agg(F.sum("_docs")).scalar()
+    hot = scored.where(F.col("_docs") * HOT_SHARE >= total).select("a", "b")
+    contexts = counts.groupBy(*by, "a").agg(F.sum("n").alias("n_context"))
+    names = counts.select(*by).distinct() if by else None
+
+    def likely(wanted: DataFrame) -> DataFrame:
+        """``model, a, b, nll`` of distinct pairs."""
+        each = wanted.join(F.broadcast(names)) if by else wanted
+        met = each.join(contexts, [*by, "a"], "left").join(counts, [*by, "a", "b"], "left")
+        share = (F.coalesce("n", F.lit(0)) + k) / (F.coalesce("n_context", F.lit(0)) + k * vocab_size)
+        return met.select(*by, "a", "b", (-F.ln(share)).alias("nll"))
+
+    cold = likely(scored.select("a", "b").join(F.broadcast(hot), ["a", "b"], "left_anti"))
+    parts = [pairs.join(F.broadcast(likely(hot)), ["a", "b"]), pairs.join(F.broadcast(hot), ["a", "b"], "left_anti").join(cold, ["a", "b"])]
+    sums = [p.select(key, "n", *by, (F.col("nll") * F.col("tf")).alias("nll"), "tf") for p in parts]
+    found = sums[0].unionByName(sums[1]).groupBy(key, "n", *by)
+    return found.agg((F.sum("nll") / F.sum("tf")).alias("loss")).select(key, *by, "loss", "n")
 
 
 def corpus_ppl(losses: DataFrame, *by: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import land
 from .lookup import salted_lookup
 
 # Largest vector table sent to every task, in numbers (160 MB of floats), and in rows.
@@ -98,25 +99,28 @@ def match_score(
     vectors: DataFrame | None = None,
     candidate: str = "cand_tokens",
     reference: str = "ref_tokens",
-    key: str = "id",
     broadcast_floats: int = BROADCAST_FLOATS,
 ) -> DataFrame:
     """Add ``precision``, ``recall`` and ``f1`` to pairs of token arrays.
 
     Precision is the mean over candidate tokens of their best similarity to a reference token, recall
     the reverse, F1 the harmonic mean. Without ``vectors`` similarity is 1 for equal tokens, else 0. With a
-    table ``token, vector`` it is the cosine; a token without a vector matches only itself. An empty
-    side scores 0. ``key`` identifies a pair and is only used when the vectors have to be joined.
+    table ``token, vector`` it is the cosine; a token without a vector matches only itself. An empty or NULL
+    side scores 0. NULL tokens and NULL vectors count as absent, of several vectors of a token the smallest counts, and vectors of
+    different widths are refused. Pairs need no key, and repeated ones stay apart.
     """
+    pairs = pairs.withColumns({c: F.array_compact(c) for c in (candidate, reference)})
     if vectors is None:
         scored = pairs.withColumn("_hits", _overlap(candidate, reference))
         precision = F.coalesce(F.try_divide("_hits.hit_cand", "_hits.n_cand"), F.lit(0.0))
         recall = F.coalesce(F.try_divide("_hits.hit_ref", "_hits.n_ref"), F.lit(0.0))
         scored = scored.withColumn("precision", precision).withColumn("recall", recall).drop("_hits")
     else:
+        present = vectors.where("token IS NOT NULL AND vector IS NOT NULL").groupBy("token")
+        vectors = present.agg(F.min(F.col("vector").cast("array<double>")).alias("vector"))
         table = _small_table(vectors, broadcast_floats)
         if table is None:
-            scored = _score_by_join(pairs, vectors, candidate, reference, key)
+            scored = _score_by_join(pairs, vectors, candidate, reference)
         else:
             scored = _score_in_place(pairs, table, candidate, reference)
     return scored.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
@@ -127,8 +131,10 @@ def _small_table(vectors: DataFrame, floats: int) -> tuple[pa.Array, np.ndarray]
 
     The matrix has one more row, all zero, that stands for tokens without a vector.
     """
-    first = vectors.select(F.size("vector").alias("dim")).first()
-    width = first.dim if first else 1
+    widths = vectors.agg(F.min(F.size("vector")).alias("low"), F.max(F.size("vector")).alias("high")).first()
+    if widths.low != widths.high:
+        raise ValueError("vectors must have one width")
+    width = widths.low or 1
     allowed = min(BROADCAST_VECTORS, floats // width)
     found = vectors.select("token", "vector").limit(allowed + 1).toArrow()
     if found.num_rows > allowed:
@@ -175,39 +181,60 @@ def _distinct(
     return found, count, _unit(matrix[rows[at]].astype(np.float64))
 
 
-def _score_by_join(
-    pairs: DataFrame, vectors: DataFrame, candidate: str, reference: str, key: str
-) -> DataFrame:
-    """Vectors met by a salted join on token, then one group per pair, no larger than its two texts."""
+def _score_by_join(pairs: DataFrame, vectors: DataFrame, candidate: str, reference: str) -> DataFrame:
+    """Vectors met by a salted join on token, then pairs scored where their cells meet, many in a batch.
+
+    Pairs are written once with a number of their own, so their identity does not hang on a caller's key.
+    """
+    numbered = land(pairs.withColumn("_row", F.monotonically_increasing_id()), "pairs")
     sides = [
-        pairs.select(key, F.lit(is_ref).alias("is_ref"), F.explode(column).alias("token"))
+        numbered.select("_row", F.lit(is_ref).alias("is_ref"), F.explode(column).alias("token"))
         for column, is_ref in ((candidate, False), (reference, True))
     ]
-    cells = sides[0].unionByName(sides[1]).groupBy(key, "is_ref", "token").agg(F.count("*").alias("n"))
-    joined = salted_lookup(cells, vectors.select("token", "vector"), "token", key)
-    key_type = pairs.schema[key].dataType.simpleString()
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = pa.Table.from_batches(batches)
-        token, _, _ = _codes(group["token"].combine_chunks(), pa.array([], pa.string()))
-        vector = group["vector"].to_pylist()
-        width = max((len(v) for v in vector if v is not None), default=1)
-        matrix = _unit(np.array([np.zeros(width) if v is None else v for v in vector], np.float64))
-        n = group["n"].to_numpy()
-        ref = group["is_ref"].to_numpy(zero_copy_only=False).astype(bool)
-        precision, recall = _mean_best(
-            token[~ref], n[~ref], matrix[~ref], token[ref], n[ref], matrix[ref]
-        )
-        yield pa.RecordBatch.from_arrays(
-            [group[key].combine_chunks()[:1], pa.array([precision]), pa.array([recall])],
-            names=[key, "precision", "recall"],
-        )
-
-    scores = joined.groupBy(key).applyInArrow(score, f"{key} {key_type}, precision double, recall double")
-    scored = pairs.join(scores, key, "left")
+    cells = sides[0].unionByName(sides[1]).groupBy("_row", "is_ref", "token").agg(F.count("*").alias("n"))
+    joined = salted_lookup(cells, vectors, "token", "_row")
+    # numbers are dealt by hash, so the rows of a pair stand together; a pair is no larger than its two texts
+    sorted_cells = joined.repartition("_row").sortWithinPartitions("_row").select("_row", "is_ref", "token", "n", "vector")
+    scores = sorted_cells.mapInArrow(_score_cells, "_row long, precision double, recall double")
+    scored = numbered.join(scores, "_row", "left").drop("_row")
     return scored.fillna(0.0, ["precision", "recall"])
 
 
+def _score_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scores of pairs from their cells, sorted by pair."""
+    kept = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        kept = table if kept is None else pa.concat_tables([kept, table])
+        done = int(np.searchsorted(kept["_row"].to_numpy(), kept["_row"][-1].as_py())) if kept.num_rows else 0
+        if done:
+            yield _scored_cells(kept.slice(0, done))
+            kept = kept.slice(done)
+    if kept is not None and kept.num_rows:
+        yield _scored_cells(kept)
+
+
+def _scored_cells(cells: pa.Table) -> pa.RecordBatch:
+    row, n = cells["_row"].to_numpy(), cells["n"].to_numpy()
+    ref = cells["is_ref"].to_numpy().astype(bool)
+    token, _, _ = _codes(cells["token"].combine_chunks(), pa.array([], pa.string()))
+    vectors = cells["vector"].combine_chunks()
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    present = vectors.is_valid().to_numpy(zero_copy_only=False)
+    matrix = np.zeros((len(row), len(flat) // max(int(present.sum()), 1) or 1))
+    if present.any():
+        matrix[present] = _unit(flat.reshape(int(present.sum()), -1).astype(np.float64))
+    begins = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    scores = []
+    for s, e in zip(begins, np.r_[begins[1:], len(row)], strict=True):
+        c, r = np.flatnonzero(~ref[s:e]) + s, np.flatnonzero(ref[s:e]) + s
+        scores.append(_mean_best(token[c], n[c], matrix[c], token[r], n[r], matrix[r]))
+    precision, recall = zip(*scores)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row[begins]), pa.array(precision), pa.array(recall)], names=["_row", "precision", "recall"]
+    )
+
+
 def mean_prf(scores: DataFrame, *by: str) -> DataFrame:
     """Mean precision, recall and F1 over pairs; the mean F1 is the mean of the pairs' F1."""
     return scores.groupBy(*by).agg(

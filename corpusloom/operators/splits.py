@@ -22,8 +22,11 @@ def _cut(keys: DataFrame, column: str, k: int) -> Column:
 def tail_holdout(
     df: DataFrame, order: str, k: int = fixed.TEST_ROWS, flag: str = "is_test"
 ) -> DataFrame:
-    """Flag the last ``k`` rows by ``order``, which must be unique; with ``k`` rows or fewer, all of them."""
-    return df.withColumn(flag, F.col(order) >= _cut(df, order, k))
+    """Flag the last ``k`` rows by ``order``, which must be unique; with ``k`` rows or fewer, all of them.
+
+    Every row has a flag: with ``k`` of 0, and where ``order`` is NULL, it is false.
+    """
+    return df.withColumn(flag, F.coalesce(F.col(order) >= _cut(df, order, k), F.lit(False)) if k else F.lit(False))
 
 
 def group_holdout(

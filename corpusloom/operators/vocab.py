@@ -26,28 +26,42 @@ BROADCAST_WORDS = 500_000
 
 @dataclass(frozen=True)
 class Vocab:
-    """A table ``(id int, token string)`` with dense ids from 0, and the ids of its reserved tokens.
+    """A table ``(id int, token string)`` with dense ids from 0, its size, and the ids of its reserved tokens.
 
     ``words`` holds the tokens in id order when there are few enough to send to every task.
     """
 
     table: DataFrame
+    size: int
     reserved: dict[str, int] = field(default_factory=dict)
     words: pa.Array | None = None
 
     @classmethod
     def from_table(
-        cls, table: DataFrame, reserved: Sequence[str] = fixed.BASE_TOKENS, limit: int = BROADCAST_WORDS
+        cls, table: DataFrame, reserved: Sequence[str] = fixed.BASE_TOKENS, limit: int | None = None
     ) -> Vocab:
-        """Use a supplied vocabulary table; beyond ``limit`` rows it will be joined, not broadcast."""
-        marks = table.where(F.col("token").isin(*reserved)).limit(len(reserved)).collect()
-        ids = {row.token: row.id for row in marks}
-        head = table.select("id", "token").orderBy("id").limit(limit + 1).toArrow()
-        if head.num_rows > limit:
-            return cls(table, ids)
-        if head["id"].to_pylist() != list(range(head.num_rows)):
+        """Use a supplied vocabulary table; beyond ``limit`` rows it will be joined, not broadcast.
+
+        Ids must run from 0 without gaps and no token may be NULL or stand there twice.
+        """
+        limit = BROADCAST_WORDS if limit is None else limit
+        found = table.agg(
+            F.count("*").alias("n"),
+            F.count_distinct("id").alias("ids"),
+            F.count_distinct("token").alias("tokens"),
+            F.min("id").alias("low"),
+            F.max("id").alias("high"),
+        ).first()
+        if found.n and (found.low, found.high, found.ids) != (0, found.n - 1, found.n):
             raise ValueError("vocabulary ids must run from 0 without gaps")
-        return cls(table, ids, head["token"].combine_chunks())
+        if found.tokens != found.n:
+            raise ValueError("vocabulary tokens must be present and differ")
+        marks = table.where(F.col("token").isin(*reserved)).collect()
+        ids = {row.token: row.id for row in marks}
+        if found.n > limit:
+            return cls(table, found.n, ids)
+        words = table.select("id", "token").orderBy("id").toArrow()["token"].cast(pa.string())
+        return cls(table, found.n, ids, words.combine_chunks())
 
     @property
     def unknown(self) -> int:
@@ -68,35 +82,48 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
+def ranked(rows: DataFrame, *by: Column) -> DataFrame:
+    """``rows`` with ``rank`` from 0 in the order ``by``, written once.
+
+    Rows are dealt by ranges and sorted inside them. A row's rank is its place in its range plus the sizes of the
+    ranges before, of which there are as many as tasks; no task sees more than its range.
+    """
+    sorted_rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = land(sorted_rows.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part, place = F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(part).agg(F.count("*").alias("_n"))
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    joined = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return joined.withColumn("rank", F.col("_start") + place).drop("_part", "_at", "_start")
+
+
 def build_vocab(
     df: DataFrame,
     tokens: str = "tokens",
-    size: int = 21_128,
+    size: int | None = None,
     base: Sequence[str] = fixed.BASE_TOKENS,
     added: Sequence[str] = fixed.SPEAKER_TOKENS,
 ) -> Vocab:
-    """The ``size`` most frequent tokens, ties by token, between ``base`` and ``added`` reserved tokens.
+    """All tokens by falling frequency, ties by token, between ``base`` and ``added`` reserved tokens.
 
-    The corpus is counted once: the top-k is fetched (or, beyond the broadcast limit, written) and every
-    later use starts from it.
+    ``size`` keeps that many of the most frequent tokens. The corpus is counted once: the ranked
+    tokens are written, and every later use starts from there.
     """
     spark = df.sparkSession
     counts = token_counts(df, tokens).where(~F.col("token").isin(*base, *added))
-    top = counts.orderBy(F.desc("n"), "token").limit(size)
-    if size <= BROADCAST_WORDS:
-        learned = top.select("token").toArrow()["token"].to_pylist()
-        words = [*base, *learned, *added]
-        table = spark.createDataFrame(
-            pa.table({"id": pa.array(range(len(words)), pa.int32()), "token": pa.array(words, pa.string())})
-        )
-        ids = {token: i for i, token in enumerate(words) if token in {*base, *added}}
-        return Vocab(table, ids, pa.array(words, pa.string()))
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-    learned = land(top.select((rank + (len(base) - 1)).cast("int").alias("id"), "token"), "vocab")
-    end = len(base) + learned.count()
-    marks = [*enumerate(base), *enumerate(added, end)]
+    learned = ranked(counts, F.desc("n"), F.col("token"))
+    if size is not None:
+        learned = learned.where(F.col("rank") < size)
+    found = learned.count()
+    marks = [*enumerate(base), *enumerate(added, len(base) + found)]
     rows = spark.createDataFrame(marks, "id int, token string")
-    return Vocab(rows.unionByName(learned), {token: i for i, token in marks})
+    table = rows.unionByName(learned.select((F.col("rank") + len(base)).cast("int").alias("id"), "token"))
+    count, ids = found + len(marks), {token: i for i, token in marks}
+    if count > BROADCAST_WORDS:
+        return Vocab(table, count, ids)
+    words = table.orderBy("id").toArrow()["token"].combine_chunks()
+    return Vocab(table, count, ids, words)
 
 
 def _rebuild(lists: pa.Array, values: pa.Array) -> pa.Array:
@@ -107,16 +134,15 @@ def _rebuild(lists: pa.Array, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values, mask=lists.is_null())
 
 
-def encode_ids(
-    df: DataFrame, vocab: Vocab, tokens: str = "tokens", out: str = "ids", key: str = "doc_id"
-) -> DataFrame:
-    """Replace tokens by ids, unknown ones by the id of ``[UNK]``; order and length are kept.
+def encode_ids(df: DataFrame, vocab: Vocab, tokens: str = "tokens", out: str = "ids") -> DataFrame:
+    """Replace tokens by ids; order and length are kept.
 
-    ``key`` identifies a row and is only used when the vocabulary has to be joined.
+    A token outside the vocabulary and a NULL token become the id of ``[UNK]``, a NULL array stays NULL.
+    Rows need no key, and repeated ones stay apart.
     """
     if vocab.words is None:
         table = vocab.table.select(F.col("token").alias("_word"), F.col("id").alias("_value"))
-        return _replace_by_join(df, tokens, table, F.lit(vocab.unknown), out, key)
+        return _replace_by_join(df, tokens, table, F.lit(vocab.unknown), out)
     shared = df.sparkSession.sparkContext.broadcast(vocab.words)
     unknown = vocab.unknown
 
@@ -129,39 +155,45 @@ def encode_ids(
     return df.withColumn(out, lookup(F.col(tokens)))
 
 
-def decode_ids(
-    df: DataFrame, vocab: Vocab, ids: str = "ids", out: str = "decoded", key: str = "doc_id"
-) -> DataFrame:
-    """Replace ids by tokens joined with spaces; reserved tokens are kept."""
+def decode_ids(df: DataFrame, vocab: Vocab, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Replace ids by tokens joined with spaces; reserved tokens are kept.
+
+    An id outside the vocabulary and a NULL id become ``[UNK]``, a NULL array stays NULL.
+    """
     if vocab.words is None:
         table = vocab.table.select(F.col("id").alias("_word"), F.col("token").alias("_value"))
-        found = _replace_by_join(df, ids, table, F.lit(fixed.UNK), out, key)
+        found = _replace_by_join(df, ids, table, F.lit(fixed.UNK), out)
         return found.withColumn(out, F.array_join(out, " "))
     shared = df.sparkSession.sparkContext.broadcast(vocab.words)
 
     @F.arrow_udf("string")
     def render(lists: pa.Array) -> pa.Array:
-        return pc.binary_join(_rebuild(lists, shared.value.take(lists.flatten())), " ")
+        flat = lists.flatten()
+        inside = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(shared.value))), False)
+        words = shared.value.take(pc.if_else(inside, flat, None))
+        return pc.binary_join(_rebuild(lists, pc.fill_null(words, fixed.UNK)), " ")
 
     return df.withColumn(out, render(F.col(ids)))
 
 
-def _replace_by_join(
-    df: DataFrame, source: str, table: DataFrame, default: Column, out: str, key: str
-) -> DataFrame:
-    """Array elements looked up by a salted join, once per distinct element of a row, then put back in order."""
+def _replace_by_join(df: DataFrame, source: str, table: DataFrame, default: Column, out: str) -> DataFrame:
+    """Array elements looked up by a salted join, once per distinct element of a row, then put back in order.
+
+    Rows are written once with a number of their own, so their identity does not hang on a caller's key.
+    """
+    numbered = land(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     cells = (
-        df.select(key, F.posexplode(source).alias("_pos", "_word"))
-        .groupBy(key, "_word")
+        numbered.select("_row", F.posexplode(source).alias("_pos", "_word"))
+        .groupBy("_row", "_word")
         .agg(F.collect_list("_pos").alias("_at"))
     )
-    found = salted_lookup(cells, table, "_word", key).select(
-        key, F.explode("_at").alias("_pos"), F.coalesce("_value", default).alias("_value")
+    found = salted_lookup(cells, table, "_word", "_row").select(
+        "_row", F.explode("_at").alias("_pos"), F.coalesce("_value", default).alias("_value")
     )
-    rows = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_value"))).alias("_cells"))
+    rows = found.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "_value"))).alias("_cells"))
     # a row without elements has nothing to explode: it comes back through the left join
     filled = F.when(F.col(source).isNotNull(), F.coalesce("_cells._value", F.array()))
-    return df.join(rows, key, "left").withColumn(out, filled).drop("_cells")
+    return numbered.join(rows, "_row", "left").withColumn(out, filled).drop("_cells", "_row")
 
 
 def to_blocks(
@@ -171,7 +203,6 @@ def to_blocks(
     block: int = fixed.BLOCK,
     reserve: int = 0,
     wrap: bool = False,
-    key: str = "doc_id",
     mask_padding: bool = False,
 ) -> DataFrame:
     """Token arrays to training examples of exactly ``block - reserve`` ids.
@@ -189,7 +220,7 @@ def to_blocks(
     pads = F.lit(length) - used
     labels = F.concat(body, F.array_repeat(F.lit(-100), pads)) if mask_padding else F.col("input_ids")
     return (
-        encode_ids(cut, vocab, "_kept", "_ids", key)
+        encode_ids(cut, vocab, "_kept", "_ids")
         .withColumn("n_tokens", F.size("_ids") + (2 if wrap else 0))
         .withColumn("input_ids", pad_block(body, length, vocab.pad))
         .withColumn("attention_mask", attention_mask(used, length))
@@ -198,12 +229,15 @@ def to_blocks(
     )
 
 
-def truncation_report(df: DataFrame, n_tokens: str = "n_tokens", block: int = fixed.BLOCK) -> DataFrame:
-    """One row: records, records over the block, their share, and tokens lost to the cut."""
-    over = F.col(n_tokens) > block
+def truncation_report(
+    df: DataFrame, n_tokens: str = "n_tokens", block: int = fixed.BLOCK, reserve: int = 0, wrap: bool = False
+) -> DataFrame:
+    """One row: records, records that :func:`to_blocks` would cut with the same sizes, their share, and tokens lost."""
+    kept = block - reserve - (2 if wrap else 0)
+    over = F.col(n_tokens) > kept
     return df.agg(
         F.count("*").alias("n_docs"),
         F.count_if(over).alias("n_over"),
         F.avg(over.cast("double")).alias("share_over"),
-        F.coalesce(F.sum(F.greatest(F.col(n_tokens) - block, F.lit(0)).cast("long")), F.lit(0)).alias("tokens_lost"),
+        F.coalesce(F.sum(F.greatest(F.col(n_tokens) - kept, F.lit(0)).cast("long")), F.lit(0)).alias("tokens_lost"),
     )

@@ -11,14 +11,22 @@ from ..functions import fixed, text as tx
 from ..functions.dialog import extract_reply
 from ..functions.tokens import pretokenize, token_count
 from ..operators import batches, dialogs, filters, ngram, scoring, splits, vocab
-from ..session import land, once, scratch_dir, spread
+from ..session import land, once, scratch_dir
 from ..sources import readers, writers
 from ..streaming.chat import chat_history_stream
 from . import evaluation
-from .corpora import chat_examples, split_report, titled_lyrics, tokenized
+from .corpora import (
+    chat_examples,
+    dialog_examples,
+    lyrics_examples,
+    news_examples,
+    song_examples,
+    split_report,
+    titled_lyrics,
+    tokenized,
+)
 from .tables import load, lyrics, texts
 
-VOCAB_SIZE = 8_000
 SEED = 7
 LINE = fixed.LINE
 # rows of one JSON array file or of one text file written for the reader queries
@@ -75,20 +83,25 @@ def _write_arrays(rows: DataFrame, order: str, path: str) -> None:
     group = F.floor(F.col(order) / ARRAY_ROWS).alias("file")
     record = F.struct(*[c for c in rows.columns if c != order])
     arrays = rows.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(order, record.alias("r")))).alias("x"))
+    # files in the order of their rows
+    arrays = arrays.repartitionByRange("file").sortWithinPartitions("file")
     lines = arrays.select(F.to_json("x.r").alias("value"))
     lines.write.option("maxRecordsPerFile", 1).text(path)
 
 
-@query
-def s3_json_records(spark, folder):
+def _records(spark, folder):
     path = scratch_dir(spark, "records-json")
     rows = load(spark, folder, "documents").select("doc_id", F.col("text").alias("output"), "lang")
     _write_arrays(rows, "doc_id", path)
-    return readers.read_json_records(spark, path).select("output")
+    return readers.read_json_records(spark, path)
 
 
 @query
-def s4_dialogs_json(spark, folder):
+def s3_json_records(spark, folder):
+    return _records(spark, folder).select("ordinal", "output")
+
+
+def _dialogs(spark, folder):
     path = scratch_dir(spark, "dialogs-json")
     rows = dialogs.turns_to_dialogs(load(spark, folder, "conversations")).select(
         "conv_id",
@@ -97,7 +110,12 @@ def s4_dialogs_json(spark, folder):
         "content",
     )
     _write_arrays(rows, "conv_id", path)
-    found = readers.read_dialogs_json(spark, path)
+    return readers.read_dialogs_json(spark, path)
+
+
+@query
+def s4_dialogs_json(spark, folder):
+    found = _dialogs(spark, folder)
     return found.select("dialog_id", "document_id", F.posexplode("content").alias("turn", "text"))
 
 
@@ -109,13 +127,18 @@ def s5_id_list(spark, folder):
     return readers.read_id_list(spark, path)
 
 
-@query
-def s6_text_tree(spark, folder):
+def _songs(spark, folder):
     """Documents written one per file under a folder per source, and read back."""
     path = scratch_dir(spark, "song-tree")
-    rows = spread(load(spark, folder, "documents")).select("source", "text")
-    rows.write.option("maxRecordsPerFile", 1).partitionBy("source").text(path)
-    return readers.read_text_tree(spark, path).select("artist", "text")
+    rows = load(spark, folder, "documents").select(
+        F.col("source").alias("artist"), F.col("doc_id").cast("string").alias("song"), "text"
+    )
+    return readers.read_text_tree(spark, writers.write_text_tree(rows, path))
+
+
+@query
+def s6_text_tree(spark, folder):
+    return _songs(spark, folder)
 
 
 @query
@@ -336,7 +359,7 @@ def k2_token_count(spark, folder):
 
 def _document_vocab(spark, folder):
     rows = texts(spark, folder).transform(tokenized)
-    return rows, vocab.build_vocab(rows, size=VOCAB_SIZE)
+    return rows, vocab.build_vocab(rows)
 
 
 @query
@@ -357,7 +380,7 @@ def k4_ids(spark, folder):
 @query
 def k5_block(spark, folder):
     rows, words = _document_vocab(spark, folder)
-    blocks = vocab.to_blocks(rows, words, wrap=True)
+    blocks = vocab.to_blocks(rows, words, reserve=fixed.MARKS, wrap=True)
     return blocks.select(
         "doc_id",
         "n_tokens",
@@ -371,12 +394,68 @@ def k5_chat_block(spark, folder):
     """Every listed conversation as a speaker-tagged block, without a second pair of marks."""
     turns = load(spark, folder, "conversations")
     marks = [*fixed.BASE_TOKENS, *fixed.SPEAKER_TOKENS]
-    words = vocab.build_vocab(tokenized(turns, reserved=marks), size=VOCAB_SIZE)
+    words = vocab.build_vocab(tokenized(turns, reserved=marks))
     listed = _listed(spark, folder).select(F.col("doc_id").alias("conv_id"))
-    blocks = chat_examples(turns, listed, words, block=128, reserve=2)
+    blocks = chat_examples(turns, listed, words)
     return blocks.select("conv_id", "n_tokens", _joined("input_ids").alias("out"))
 
 
+def _block_columns(blocks: DataFrame, key: str) -> DataFrame:
+    mask = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_mask")
+    return blocks.select(key, "n_tokens", _joined("input_ids").alias("out"), mask, _joined("labels").alias("labels"))
+
+
+@query
+def lyrics_corpus(spark, folder):
+    """CSV to blocks: the training side of the English songs, with titles."""
+    rows = land(readers.read_lyrics_csv(spark, _lyrics_files(spark, folder)), "lyrics")
+    train = titled_lyrics(rows).where("NOT is_test")
+    return _block_columns(lyrics_examples(rows, vocab.build_vocab(train.transform(tokenized))), "ordinal")
+
+
+@query
+def news_corpus(spark, folder):
+    """JSON records to blocks."""
+    rows = land(_records(spark, folder), "news")
+    words = vocab.build_vocab(tokenized(filters.keep_nonnull(rows, "output"), "output"))
+    return _block_columns(news_examples(rows, words), "ordinal")
+
+
+@query
+def song_corpus(spark, folder):
+    """A tree of text files to blocks: the songs of the training artists, each on one line."""
+    rows = land(_songs(spark, folder), "songs")
+    flat = rows.select(tx.flatten_lines(F.col("text")).alias("text"))
+    return _block_columns(song_examples(rows, vocab.build_vocab(tokenized(flat))), "song_id")
+
+
+@query
+def chat_corpus(spark, folder):
+    """JSON dialogues and an id file to blocks, without a second pair of marks."""
+    rows = land(_dialogs(spark, folder), "dialogs")
+    path = scratch_dir(spark, "chat-ids")
+    _listed(spark, folder).select(F.concat(F.lit(" "), "doc_id", F.lit("\t")).alias("value")).write.text(path)
+    ids = readers.read_id_list(spark, path, "dialog_id")
+    marks = [*fixed.BASE_TOKENS, *fixed.SPEAKER_TOKENS]
+    said = rows.select(F.explode("content").alias("text"))
+    return _block_columns(dialog_examples(rows, ids, vocab.build_vocab(tokenized(said, reserved=marks))), "dialog_id")
+
+
+@query
+def k4_ids_joined(spark, folder):
+    rows, words = _document_vocab(spark, folder)
+    words = vocab.Vocab.from_table(land(words.table, "vocab"), limit=0)
+    return vocab.encode_ids(rows, words).select("doc_id", _joined("ids").alias("out"))
+
+
+@query
+def k6_decode_joined(spark, folder):
+    rows, words = _document_vocab(spark, folder)
+    large = vocab.Vocab.from_table(land(words.table, "vocab"), limit=0)
+    decoded = vocab.decode_ids(vocab.encode_ids(rows, words), large, out="out")
+    return decoded.select("doc_id", "out")
+
+
 @query
 def k6_decode(spark, folder):
     rows, words = _document_vocab(spark, folder)
@@ -387,7 +466,7 @@ def k6_decode(spark, folder):
 @query
 def k7_truncation(spark, folder):
     counted = texts(spark, folder).select(token_count(F.col("text")).alias("n_tokens"))
-    report = vocab.truncation_report(counted)
+    report = vocab.truncation_report(counted, reserve=fixed.MARKS, wrap=True)
     return report.withColumn("share_over", F.round("share_over", 6))
 
 
@@ -401,8 +480,7 @@ def b1_batches(spark, folder):
 
 @query
 def b2_schedule(spark, folder):
-    n = load(spark, folder, "documents").count()
-    rows = batches.step_schedule(spark, n, batch_size=4, epochs=3)
+    rows = batches.step_schedule(b1_batches(spark, folder))
     return rows.withColumn("lr", F.round("lr", 12))
 
 
@@ -425,7 +503,7 @@ def _encoded_lyrics(spark, folder):
     """English titled documents as ids over the vocabulary of the training side."""
     rows = titled_lyrics(lyrics(spark, folder), "doc_id", sep=LINE).select("doc_id", "is_test", "text")
     rows = rows.transform(tokenized)
-    words = vocab.build_vocab(rows.where(~F.col("is_test")), size=VOCAB_SIZE, added=())
+    words = vocab.build_vocab(rows.where(~F.col("is_test")), added=())
     return vocab.encode_ids(rows, words).select("doc_id", "is_test", "ids"), words
 
 
@@ -437,10 +515,10 @@ def _models(spark, folder):
     rows, words = _encoded_lyrics(spark, folder)
     rows = land(rows, "ids")
     passages = load(spark, folder, "benchmark").transform(tokenized)
-    background = land(ngram.fit_ngram(vocab.encode_ids(passages, words, key="item_id")), "background")
+    background = land(ngram.fit_ngram(vocab.encode_ids(passages, words)), "background")
     domain = ngram.fit_ngram(rows.where(~F.col("is_test")))
     adapted = land(ngram.merge_ngram(background, domain), "adapted")
-    return rows.where(F.col("is_test")), len(words.words), {"original": background, "finetuned": adapted}
+    return rows.where(F.col("is_test")), words.size, {"original": background, "finetuned": adapted}
 
 
 @query
@@ -458,10 +536,8 @@ def e2_loss(spark, folder):
 
 def _perplexities(spark, folder):
     rows, size, models = _models(spark, folder)
-    losses = [
-        ngram.document_loss(rows, counts, size).withColumn("model", F.lit(model)) for model, counts in models.items()
-    ]
-    return ngram.corpus_ppl(losses[0].unionByName(losses[1]), "model")
+    both = [counts.select(F.lit(model).alias("model"), "a", "b", "n") for model, counts in models.items()]
+    return ngram.corpus_ppl(ngram.document_loss(rows, both[0].unionByName(both[1]), size, model="model"), "model")
 
 
 @query
@@ -489,7 +565,7 @@ def e4_pairs(spark, folder):
 
 @query
 def e4_cut_pairs(spark, folder):
-    docs = spread(load(spark, folder, "documents"))
+    docs = load(spark, folder, "documents")
     pairs = evaluation.cut_pairs(docs, "doc_id", "source", seed=SEED)
     return pairs.select("doc_id", "n", "input", "reference", "n_tokens")
 
@@ -514,7 +590,7 @@ def e5_match_documents(spark, folder):
         pretokenize(F.col("p.input")).alias("cand_tokens"),
         pretokenize(F.col("p.reference")).alias("ref_tokens"),
     )
-    scored = scoring.match_score(rows, key="doc_id").select("doc_id", "precision", "recall", "f1")
+    scored = scoring.match_score(rows).select("doc_id", "precision", "recall", "f1")
     return _rounded(scored)
 
 
@@ -531,6 +607,13 @@ def e5_match_vectors(spark, folder):
     return _rounded(evaluation.score_models(_candidates(spark, folder), "doc_id", vectors=vectors))
 
 
+@query
+def e5_match_vectors_joined(spark, folder):
+    vectors = _token_vectors(spark, folder)
+    scored = evaluation.score_models(_candidates(spark, folder), "doc_id", vectors=vectors, broadcast_floats=0)
+    return _rounded(scored)
+
+
 @query
 def e6_mean(spark, folder):
     return _rounded(scoring.mean_prf(evaluation.score_models(_candidates(spark, folder), "doc_id"), "model"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from ..functions.tokens import TOKEN_PATTERN
 
-VOCAB_SIZE = 8_000
+# --- fixed values: what a token is, in this engine's notation ---
+TOKEN_PATTERN = (
+    r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2CEAF}\x{2F800}-\x{2FA1F}\p{P}\p{S}]"
+    r"|[^\s\p{Z}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2CEAF}\x{2F800}-\x{2FA1F}\p{P}\p{S}]+"
+)
 SEED = 7
 NL = "chr(10)"
 
@@ -22,7 +25,7 @@ def _vocab(cells: str, first: int = 4) -> str:
     """Ranked tokens after ``first`` reserved ids."""
     return (
         f"SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + {first - 1} AS INTEGER) AS id "
-        f"FROM (SELECT token, count(*) AS n FROM ({cells}) GROUP BY token ORDER BY n DESC, token LIMIT {VOCAB_SIZE})"
+        f"FROM (SELECT token, count(*) AS n FROM ({cells}) GROUP BY token)"
     )
 
 
@@ -165,18 +168,41 @@ INPUT = f"array_to_string(p[1:len(p) - 1], {NL}) || {NL}"
 NUMBERED = """
 SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, source AS title, text AS body, lang FROM documents"""
 
+
+
+def _corpus(records: str, key: str, kept: int, length: int, vocab_from: str = "SELECT token FROM ccells", wrap: bool = False) -> str:
+    """Blocks of a relation ``recs (key, body)``: ``kept`` text tokens of ``length`` ids."""
+    body = "list_concat(list_concat([2], b), [3])" if wrap else "b"
+    return f"""
+        WITH {records},
+        ctok AS MATERIALIZED (SELECT *, {_tokens('body')} AS toks FROM recs),
+        ccells AS MATERIALIZED ({_cells('ctok', key)}),
+        cvocab AS MATERIALIZED ({_vocab(vocab_from)}),
+        cids AS (SELECT {key}, pos, coalesce(id, 1) AS id FROM ccells LEFT JOIN cvocab USING (token) WHERE pos <= {kept}),
+        cbody AS (
+          SELECT {key}, coalesce(list(id ORDER BY pos) FILTER (WHERE pos IS NOT NULL), []) AS b
+          FROM recs LEFT JOIN cids USING ({key}) GROUP BY {key}),
+        wrapped AS (SELECT {key}, {body} AS w FROM cbody)
+        SELECT {key}, CAST(len(w) AS INTEGER) AS n_tokens, CAST(len(w) AS INTEGER) AS n_mask,
+               array_to_string(w, ' ') || repeat(' 0', CAST({length} - len(w) AS INTEGER)) AS out,
+               array_to_string(w, ' ') || repeat(' 0', CAST({length} - len(w) AS INTEGER)) AS labels
+        FROM wrapped"""
+
+
+FLAT = f"replace(replace(replace(text, {NL} || {NL}, '。'), {NL}, '。'), ' ', '，')"
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "s1_lyrics_csv": NUMBERED,
     "s1_lyrics_csv_parallel": NUMBERED,
     "s2_preview": "SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 5",
-    "s3_json_records": "SELECT text AS output FROM documents",
+    "s3_json_records": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text AS output FROM documents",
     "s4_dialogs_json": """
         SELECT CAST(conv_id AS VARCHAR) AS dialog_id, 'd' || conv_id AS document_id,
                CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS turn, text
         FROM conversations""",
     "s5_id_list": "SELECT CAST(doc_id AS VARCHAR) AS id FROM labels WHERE quality = 1",
-    "s6_text_tree": f"SELECT 'source=' || source AS artist, text || {NL} AS text FROM documents",
+    "s6_text_tree": "SELECT source AS artist, CAST(doc_id AS VARCHAR) AS song, text FROM documents",
     "s7_prompts": f"SELECT text || {NL} AS text FROM benchmark",
     "s8_write_examples": f"""
         WITH cut AS (SELECT min(doc_id) AS c FROM (SELECT doc_id FROM documents ORDER BY doc_id DESC LIMIT 500))
@@ -251,6 +277,23 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, turn, coalesce(replace(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), ' ', ''), '') AS out
         FROM conversations""",
     "c5_history_stream": PROMPTS,
+    # corpora
+    "lyrics_corpus": _corpus(
+        f"""numbered AS ({NUMBERED}),
+        recs AS (SELECT ordinal, 'The lyrics of "' || title || '":' || {NL} || {NL} || numbered.body AS body FROM numbered
+                 WHERE lang = 'en' AND ordinal < (SELECT count(*) - 500 FROM documents))""",
+        "ordinal", 1024, 1024,
+    ),
+    "news_corpus": _corpus(
+        "recs AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text AS body FROM documents)",
+        "ordinal", 1020, 1022, wrap=True,
+    ),
+    "song_corpus": _corpus(
+        f"""g AS (SELECT source, row_number() OVER (ORDER BY source DESC) AS r FROM (SELECT DISTINCT source FROM documents)),
+        recs AS (SELECT source || '/' || doc_id AS song_id, {FLAT} AS body FROM documents JOIN g USING (source) WHERE r > 10),
+        alltok AS (SELECT {_tokens(FLAT)} AS toks FROM documents)""",
+        "song_id", 1020, 1022, "SELECT unnest(toks) AS token FROM alltok", wrap=True,
+    ),
     # tokens and blocks
     "k1_tokens": f"""
         WITH tok AS (SELECT doc_id, {_tokens('text')} AS toks FROM documents)
@@ -270,10 +313,10 @@ ORACLE: dict[str, str] = {
         WITH {DOCS},
         body AS (
           SELECT doc_id, coalesce(list(id ORDER BY pos) FILTER (WHERE pos IS NOT NULL), []) AS b
-          FROM documents LEFT JOIN (SELECT * FROM ids WHERE pos <= 1022) USING (doc_id) GROUP BY doc_id),
+          FROM documents LEFT JOIN (SELECT * FROM ids WHERE pos <= 1020) USING (doc_id) GROUP BY doc_id),
         wrapped AS (SELECT doc_id, list_concat(list_concat([2], b), [3]) AS w FROM body)
         SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, CAST(len(w) AS INTEGER) AS n_mask,
-               array_to_string(w, ' ') || repeat(' 0', CAST(1024 - len(w) AS INTEGER)) AS out
+               array_to_string(w, ' ') || repeat(' 0', CAST(1022 - len(w) AS INTEGER)) AS out
         FROM wrapped""",
     "k5_chat_block": f"""
         WITH ttok AS (SELECT conv_id, {_tokens('text')} AS toks FROM conversations),
@@ -290,9 +333,29 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT conv_id, p, 0, (SELECT count(*) FROM vocab) + 4 + p % 2 FROM turns
           UNION ALL SELECT conv_id, p, 1000000000, 3 FROM turns
           UNION ALL SELECT conv_id, p, pos, coalesce(id, 1) FROM words LEFT JOIN vocab USING (token)),
-        blocks AS (SELECT conv_id, (list(id ORDER BY p, pos))[1:126] AS b FROM marks GROUP BY conv_id)
+        blocks AS (SELECT conv_id, (list(id ORDER BY p, pos))[1:1022] AS b FROM marks GROUP BY conv_id)
         SELECT conv_id, CAST(len(b) AS INTEGER) AS n_tokens,
-               array_to_string(b, ' ') || repeat(' 0', CAST(126 - len(b) AS INTEGER)) AS out
+               array_to_string(b, ' ') || repeat(' 0', CAST(1022 - len(b) AS INTEGER)) AS out
+        FROM blocks""",
+    "chat_corpus": f"""
+        WITH ttok AS (SELECT conv_id, {_tokens('text')} AS toks FROM conversations),
+        tcells AS ({_cells('ttok', 'conv_id')}),
+        vocab AS MATERIALIZED ({_vocab('SELECT token FROM tcells')}),
+        turns AS (
+          SELECT conv_id, turn, {_tokens('text')} AS toks,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations
+          WHERE conv_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+        words AS (SELECT conv_id, p, pos, token FROM (
+          SELECT conv_id, p, generate_subscripts(toks, 1) AS pos, unnest(toks) AS token FROM turns)),
+        marks AS (
+          SELECT conv_id, -1 AS p, 0 AS pos, 2 AS id FROM turns WHERE p = 0
+          UNION ALL SELECT conv_id, p, 0, (SELECT count(*) FROM vocab) + 4 + p % 2 FROM turns
+          UNION ALL SELECT conv_id, p, 1000000000, 3 FROM turns
+          UNION ALL SELECT conv_id, p, pos, coalesce(id, 1) FROM words LEFT JOIN vocab USING (token)),
+        blocks AS (SELECT conv_id, (list(id ORDER BY p, pos))[1:1022] AS b FROM marks GROUP BY conv_id)
+        SELECT CAST(conv_id AS VARCHAR) AS dialog_id, CAST(len(b) AS INTEGER) AS n_tokens, CAST(len(b) AS INTEGER) AS n_mask,
+               array_to_string(b, ' ') || repeat(' 0', CAST(1022 - len(b) AS INTEGER)) AS out,
+               array_to_string(b, ' ') || repeat(' 0', CAST(1022 - len(b) AS INTEGER)) AS labels
         FROM blocks""",
     "k6_decode": f"""
         WITH {DOCS}
@@ -301,9 +364,9 @@ ORACLE: dict[str, str] = {
         FROM documents LEFT JOIN cells USING (doc_id) LEFT JOIN vocab USING (token) GROUP BY doc_id""",
     "k7_truncation": f"""
         WITH n AS (SELECT len({_tokens('text')}) AS n_tokens FROM documents)
-        SELECT count(*) AS n_docs, count(*) FILTER (WHERE n_tokens > 1024) AS n_over,
-               round(avg(CASE WHEN n_tokens > 1024 THEN 1.0::DOUBLE ELSE 0.0 END), 6) AS share_over,
-               CAST(sum(greatest(n_tokens - 1024, 0)) AS BIGINT) AS tokens_lost FROM n""",
+        SELECT count(*) AS n_docs, count(*) FILTER (WHERE n_tokens > 1020) AS n_over,
+               round(avg(CASE WHEN n_tokens > 1020 THEN 1.0::DOUBLE ELSE 0.0 END), 6) AS share_over,
+               CAST(sum(greatest(n_tokens - 1020, 0)) AS BIGINT) AS tokens_lost FROM n""",
     # batches
     "b1_batches": f"""
         WITH epochs AS (SELECT CAST(unnest(range(3)) AS INTEGER) AS epoch),
@@ -403,3 +466,7 @@ ORACLE: dict[str, str] = {
           FROM ranked WHERE lang = 'en')
         SELECT split, count(*) AS n, CAST(sum(len({_tokens('body')})) AS BIGINT) AS n_tokens FROM rows GROUP BY split""",
 }
+
+# the same answers by the other way of meeting a table
+for _name in ("k4_ids", "k6_decode", "e5_match_vectors"):
+    ORACLE[f"{_name}_joined"] = ORACLE[_name]

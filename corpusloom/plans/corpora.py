@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.dialog import dialog_text
 from ..functions.text import flatten_lines, title_prompt
 from ..functions.tokens import pretokenize
 from ..operators.dialogs import dialog_strings
@@ -48,15 +49,23 @@ def lyrics_examples(
 ) -> DataFrame:
     """Titled lyrics of the training side, as blocks."""
     rows = titled_lyrics(df, order, **options).where(~F.col("is_test"))
-    return to_blocks(tokenized(rows.select(order, "text")), vocab, block=block, key=order)
+    return to_blocks(tokenized(rows.select(order, "text")), vocab, block=block)
 
 
 def news_examples(
-    df: DataFrame, vocab: Vocab, field: str = "output", key: str = "ordinal", block: int = fixed.BLOCK
+    df: DataFrame,
+    vocab: Vocab,
+    field: str = "output",
+    key: str = "ordinal",
+    block: int = fixed.BLOCK,
+    reserve: int = fixed.MARKS,
 ) -> DataFrame:
-    """News bodies that are present, wrapped in opening and closing marks inside the block."""
+    """News bodies that are present, wrapped in opening and closing marks.
+
+    The block is first shortened by ``reserve`` for the marks, and the marks then stand inside it.
+    """
     rows = keep_nonnull(df, field).select(key, F.col(field).alias("text"))
-    return to_blocks(tokenized(rows), vocab, block=block, wrap=True, key=key)
+    return to_blocks(tokenized(rows), vocab, block=block, reserve=reserve, wrap=True)
 
 
 def chat_examples(
@@ -65,7 +74,7 @@ def chat_examples(
     vocab: Vocab,
     conv: str = "conv_id",
     block: int = fixed.BLOCK,
-    reserve: int = 2,
+    reserve: int = fixed.MARKS,
     role: str | None = None,
 ) -> DataFrame:
     """Listed conversations as speaker-tagged strings, in blocks.
@@ -76,7 +85,28 @@ def chat_examples(
     """
     strings = dialog_strings(keep_listed(turns, ids, conv), conv, role=role, first_turns=block // 2 + 1)
     marks = [*fixed.BASE_TOKENS, *fixed.SPEAKER_TOKENS]
-    return to_blocks(tokenized(strings, "out", reserved=marks), vocab, block=block, reserve=reserve, key=conv)
+    return to_blocks(tokenized(strings, "out", reserved=marks), vocab, block=block, reserve=reserve)
+
+
+def dialog_examples(
+    dialogs: DataFrame,
+    ids: DataFrame,
+    vocab: Vocab,
+    key: str = "dialog_id",
+    content: str = "content",
+    block: int = fixed.BLOCK,
+    reserve: int = fixed.MARKS,
+) -> DataFrame:
+    """Listed dialogues given as arrays of utterances, in blocks as by :func:`chat_examples`, without a shuffle.
+
+    A dialogue without utterances is its opening mark alone.
+    """
+    listed = keep_listed(dialogs, ids, key)
+    # every utterance is at least two tokens, so later ones are cut off in any case
+    first = F.slice(F.coalesce(F.col(content), F.array()), 1, block // 2 + 1)
+    strings = listed.select(key, dialog_text(first).alias("out"))
+    marks = [*fixed.BASE_TOKENS, *fixed.SPEAKER_TOKENS]
+    return to_blocks(tokenized(strings, "out", reserved=marks), vocab, block=block, reserve=reserve)
 
 
 def song_examples(
@@ -86,14 +116,15 @@ def song_examples(
     key: str = "song",
     text: str = "text",
     block: int = fixed.BLOCK,
+    reserve: int = fixed.MARKS,
     k_train: int = fixed.HELD_OUT_GROUPS,
     k_eval: int = fixed.EVALUATED_GROUPS,
 ) -> DataFrame:
-    """Flattened songs of the training groups, wrapped, in blocks."""
+    """Flattened songs of the training groups, wrapped, in blocks shortened by ``reserve`` as for news."""
     rows = group_holdout(df, group, k_train, k_eval).where(F.col("role") == "train")
     song_id = F.concat_ws("/", group, key).alias("song_id")
     flat = rows.select(group, key, song_id, flatten_lines(F.col(text)).alias("text"))
-    return to_blocks(tokenized(flat), vocab, block=block, wrap=True, key="song_id")
+    return to_blocks(tokenized(flat), vocab, block=block, reserve=reserve, wrap=True)
 
 
 def split_report(df: DataFrame, order: str, title: str, body: str, k: int = fixed.TEST_ROWS) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import fixed
 from ..functions.text import first_paragraph, flatten_lines, last_segment_pair, random_cut_pair, strip_prompt
 from ..functions.tokens import pretokenize, token_count
 from ..operators.filters import within_budget
-from ..operators.scoring import match_score
+from ..operators.scoring import BROADCAST_FLOATS, match_score
 from ..operators.splits import group_holdout
 from ..session import once
 from .corpora import titled_lyrics
@@ -71,8 +71,9 @@ def attach_candidates(
     """Join generated texts by key and turn each model's column into ``cand_<model>``.
 
     The prompt is cut off the front; with ``paragraph`` only the text before the first blank line stays.
+    A pair without an answer stays, with a NULL candidate, which scores 0.
     """
-    rows = pairs.join(generated.select(key, *models), key)
+    rows = pairs.join(generated.select(key, *models), key, "left")
     for model in models:
         answer = strip_prompt(F.col(model), F.col("input"))
         rows = rows.withColumn(f"cand_{model}", first_paragraph(answer) if paragraph else answer)
@@ -84,17 +85,17 @@ def score_models(
     key: str,
     models: Sequence[str] = MODELS,
     vectors: DataFrame | None = None,
+    broadcast_floats: int = BROADCAST_FLOATS,
 ) -> DataFrame:
     """``key, model, precision, recall, f1`` for every pair and model."""
     answers = F.explode(
         F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"cand_{m}").alias("cand")) for m in models])
     )
     rows = pairs.select(key, pretokenize(F.col("reference")).alias("ref_tokens"), answers.alias("answer")).select(
-        F.concat_ws(":", F.col(key).cast("string"), "answer.model").alias("_pair"),
         key,
         "answer.model",
         "ref_tokens",
         pretokenize(F.col("answer.cand")).alias("cand_tokens"),
     )
-    scored = match_score(rows, vectors, key="_pair")
+    scored = match_score(rows, vectors, broadcast_floats=broadcast_floats)
     return scored.select(key, "model", "precision", "recall", "f1")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
-
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -14,9 +12,9 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def lyrics(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as a lyrics table: the document id is the ordinal, the source the title."""
-    docs = spread(load(spark, folder, "documents"))
+    docs = load(spark, folder, "documents")
     return docs.select("doc_id", F.col("source").alias("title"), F.col("text").alias("body"), "lang")
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(load(spark, folder, "documents")).select("doc_id", "text")
+    return load(spark, folder, "documents").select("doc_id", "text")

@@ -1,4 +1,4 @@
-"""Session set-up, scratch locations and the one repartitioning rule every scan shares."""
+"""Session set-up, scratch locations, and borders that keep costly steps from being repeated."""
 
 from __future__ import annotations
 
@@ -41,16 +41,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core for CPU-heavy work on an input with fewer splits than cores.
-
-    A large input already has more splits than cores and passes through without a shuffle, so the
-    exchange only ever moves inputs that are small for the cluster. Call it on a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a costly column that later filters and steps read without computing it again.
 

@@ -6,21 +6,22 @@ them once, many files at a time, and land the result with ``write_table``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalize_newlines
 
-# Inputs of up to this many files get their per-split offsets by broadcast.
-BROADCAST_FILES = 100_000
-
 
 def _numbered(df: DataFrame) -> DataFrame:
     """Add ``ordinal``: 0.. in order of file name, then place in the file.
 
     Rows of one input split carry consecutive ids, so a split's rows are counted, the counts of the
-    earlier splits are summed (one row per split), and no data row is sorted.
+    earlier splits are summed (one row per split), and no data row is sorted. Spark decides by the size of
+    that table how it meets the rows.
     """
     tagged = df.select(
         "*",
@@ -34,8 +35,6 @@ def _numbered(df: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
         .select("_file", "_at", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
-    if len(df.inputFiles()) <= BROADCAST_FILES:
-        splits = F.broadcast(splits)
     ordinal = (F.col("_start") + F.col("_row") - F.col("_first")).alias("ordinal")
     return tagged.join(splits, ["_file", "_at"]).select(ordinal, *df.columns)
 
@@ -60,14 +59,16 @@ def _split_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
         .withColumn("_quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
         .withColumn("_parity", F.coalesce(F.sum("_quotes").over(passed), F.lit(0)) % 2)
     )
+    # a line without characters outside of quotes is no record
+    blank = F.col("value").isin("", "\r")
     in_file = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     in_all = Window.orderBy("_file", "_at").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         lines.groupBy("_file", "_at")
         .agg(
             F.sum("_quotes").alias("_quotes"),
-            F.count_if(F.col("_parity") == 0).alias("_even"),
-            F.count_if(F.col("_parity") == 1).alias("_odd"),
+            F.count_if((F.col("_parity") == 0) & ~blank).alias("_even"),
+            F.count_if((F.col("_parity") == 1) & ~blank).alias("_odd"),
         )
         .withColumn("_enters", F.coalesce(F.sum("_quotes").over(in_file), F.lit(0)) % 2)
         .withColumn("_starts", F.when(F.col("_enters") == 0, F.col("_even")).otherwise(F.col("_odd")))
@@ -80,12 +81,12 @@ def _split_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
             F.dense_rank().over(Window.orderBy("_file")).alias("_headers"),
         )
     )
-    starts = (F.col("_parity") == F.col("_enters")).cast("long")
+    starts = ((F.col("_parity") == F.col("_enters")) & ~blank).cast("long")
     inside = F.sum(starts).over(order.rowsBetween(Window.unboundedPreceding, 0))
     records = (
         lines.join(splits, ["_file", "_at"])
         .withColumn("_inside", inside)
-        .where(F.col("_in_file") + F.col("_inside") > 1)
+        .where((F.col("_in_file") + F.col("_inside") > 1) & ~(blank & (F.col("_parity") == F.col("_enters"))))
         .groupBy((F.col("_in_all") + F.col("_inside") - 1 - F.col("_headers")).alias("ordinal"))
         .agg(F.sort_array(F.collect_list(F.struct("_at", "_row", "value"))).alias("_lines"))
     )
@@ -156,16 +157,68 @@ def _path_part(index: int) -> Column:
     return F.element_at(F.split(decoded, "/"), index)
 
 
+def _list_songs(root: str):
+    """Task function: folder names to the paths of their files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, place = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for artist in batch.column(0).to_pylist():
+                files = system.get_file_info(fs.FileSelector(f"{place}/{artist}"))
+                names = [f.base_name for f in files if f.is_file]
+                for at in range(0, len(names), 10_000):
+                    part = names[at : at + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([artist] * len(part), pa.string()), pa.array(part, pa.string())], names=["artist", "name"])
+
+    return run
+
+
+def _read_songs(root: str):
+    """Task function: files to their texts, in batches of bounded size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, place = fs.FileSystem.from_uri(root)
+
+        def packed(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["artist", "name", "value"])
+
+        for batch in batches:
+            rows, size = [], 0
+            for row in batch.to_pylist():
+                with system.open_input_stream(f"{place}/{row['artist']}/{row['name']}") as file:
+                    text = file.readall().decode("utf-8", "replace")
+                rows.append((row["artist"], row["name"], text))
+                size += len(text)
+                if size > 8 << 20:
+                    yield packed(rows)
+                    rows, size = [], 0
+            if rows:
+                yield packed(rows)
+
+    return run
+
+
 def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
     """``artist, song, text`` from ``root/<artist>/<song>.txt``; files directly under the root are skipped.
 
-    Spark's file listing leaves out empty files and names that begin with ``_`` or ``.``.
+    Every file is read, also empty ones and those whose names begin with ``_`` or ``.``, which Spark's own
+    listing hides. The driver lists the artists; their songs are listed and read by the tasks.
     """
-    return spark.read.text(f"{root.rstrip('/')}/*/*", wholetext=True).select(
-        _path_part(-2).alias("artist"),
-        F.regexp_replace(_path_part(-1), r"\.txt$", "").alias("song"),
-        normalize_newlines(F.col("value")).alias("text"),
-    )
+    from pyarrow import fs
+
+    root = root.rstrip("/")
+    system, place = fs.FileSystem.from_uri(root)
+    artists = [f.base_name for f in system.get_file_info(fs.FileSelector(place)) if not f.is_file]
+    names = spark.createDataFrame([(a,) for a in sorted(artists)], "artist string").repartition("artist")
+    files = names.mapInArrow(_list_songs(root), "artist string, name string")
+    # a song is dealt by its own name, so that an artist with very many is read by many tasks
+    read = files.repartition("artist", "name").mapInArrow(_read_songs(root), "artist string, name string, value string")
+    song = F.regexp_replace("name", r"\.txt$", "").alias("song")
+    return read.select("artist", song, normalize_newlines(F.col("value")).alias("text"))
 
 
 def read_prompts(spark: SparkSession, source: str | list[str]) -> DataFrame:

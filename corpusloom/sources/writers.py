@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +26,29 @@ def write_examples(df: DataFrame, path: str, by: str = "split", mode: str = "err
 def example_count(df: DataFrame, *by: str) -> DataFrame:
     """Number of examples, over all or per group."""
     return df.groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def write_text_tree(df: DataFrame, root: str, group: str = "artist", name: str = "song", text: str = "text") -> str:
+    """One UTF-8 file ``root/<group>/<name>.txt`` for each row, written by the tasks; returns ``root``.
+
+    ``root`` is a folder that all executors reach. A repeated task writes the same files again.
+    """
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, place = fs.FileSystem.from_uri(root)
+        made = set()
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = f"{place}/{row['group']}"
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(f"{folder}/{row['name']}.txt") as out:
+                    out.write((row["text"] or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    columns = [F.col(c).cast("string").alias(n) for c, n in ((group, "group"), (name, "name"), (text, "text"))]
+    df.select(*columns).mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    return root
