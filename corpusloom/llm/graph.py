@@ -29,7 +29,7 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     while state[0]:
         both = now.unionByName(now.select(v.alias("u"), u.alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v"))
         floor = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(floor, "u").select(v.alias("u"), F.col("m").alias("v"))
         after = floor.select("u", F.col("m").alias("v")).unionByName(small).where(u != v).distinct()

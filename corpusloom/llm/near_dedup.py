@@ -7,9 +7,9 @@ the longest common prefixes (their depth adapts to how crowded the region is), a
 However large a region, the work in it is linear. Meetings whose signatures agree enough make clusters, and
 inside clusters links are confirmed on whole sets, so the forest only decides who is compared.
 
-Clusters of at most ``BLOCK`` sets are compared in full. Larger ones go through three passes: blocks of
-neighbours first; then the sets that stand for what each block joined; then every set outside the cluster's
-largest group against all blocks, so that no link that changes a group is left out.
+Clusters of at most ``BLOCK`` sets are compared in full. Larger ones go through three passes: blocks first; then a few sets that
+stand for what each block joined, against those of the largest groups; then every set outside the cluster's
+largest group so far against all blocks, so that no link that changes a group is left out.
 """
 
 from __future__ import annotations
@@ -190,7 +190,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _compare(k: int, share: int):
     """Task function: rows ``job, side, rep, text`` sorted by job to the edges that its links make.
 
-    A job whose rows all have side 0 compares them all with each other; otherwise side 0 with side 1.
+    A job without side 1 compares all its rows with each other; otherwise the others with those of side 1.
     """
 
     def solve(rep: np.ndarray, side: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +198,7 @@ def _compare(k: int, share: int):
         rep, side, texts = rep[order], side[order], texts.take(pa.array(order))
         parts = [(rows + at, values) for at, _, rows, values in words.shingle_sets(texts, k)]
         rows, values = (np.concatenate([p[x] for p in parts]) for x in (0, 1))
-        two = int(side.sum())
+        two = int((side == 1).sum())
         i, j = linked(rows, values, len(rep), share, len(rep) - two if two else None)
         if not two:  # groups are all that counts: one edge for each set is enough
             root = _roots(len(rep), i, j)
@@ -242,36 +242,44 @@ def _links(jobs: DataFrame, k: int, share: int) -> DataFrame:
 
 def _large_links(members: DataFrame, k: int, share: int) -> DataFrame:
     """Links inside clusters of more than ``BLOCK`` sets; ``members`` has ``rep, root, block, text``."""
-    own = F.concat_ws("/", "root", "block")
-    first = land(_links(members.select(own.alias("job"), F.lit(0).alias("side"), "rep", "text"), k, share), "links")
-
-    def grouped(edges: DataFrame) -> DataFrame:
-        labels = components(edges).withColumnRenamed("node", "rep").withColumnRenamed("root", "group")
-        return members.join(labels, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
-
-    # second pass: a few sets of each group of a block, all stand-ins of a cluster compared in blocks of their own
-    spot = Window.partitionBy("group", "block").orderBy(F.xxhash64("rep"), "rep")
-    few = grouped(first).withColumn("spot", F.row_number().over(spot)).where(F.col("spot") <= STAND_INS)
-    sums = few.groupBy("root").agg(F.count("*").alias("few"))
-    few = few.join(sums, "root").withColumn("lot", F.pmod(F.xxhash64("rep"), F.ceil(F.col("few") / BLOCK)))
-    job = F.concat_ws("/", F.lit("few"), "root", "lot")
-    second = land(first.unionByName(_links(few.select(job.alias("job"), F.lit(0).alias("side"), "rep", "text"), k, share)), "links")
-
-    # third pass: sets outside their cluster's largest group against all blocks of the cluster
-    now = land(grouped(second).select("root", "block", "rep", "group"), "groups")
-    sizes = now.groupBy("root", "group").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("root").agg(F.max_by("group", F.struct("n", -F.col("group"))).alias("main"))
-    outside = now.join(main, "root").where("group != main").select("root", "rep")
-    counts = outside.groupBy("root").agg(F.count("*").alias("out"))
-    outside = outside.join(counts, "root").withColumn("lot", F.pmod(F.xxhash64("rep", F.lit(3)), F.ceil(F.col("out") / BLOCK)))
-    lots = outside.select("root", "lot").distinct()
-    blocks = members.select("root", "block").distinct()
-    jobs = lots.join(blocks, "root")
+    zero = F.lit(0).alias("side")
+    first = land(_links(members.select(F.concat_ws("/", "root", "block").alias("job"), zero, "rep", "text"), k, share), "links")
+    # a block's links are one from each set to the first of its group
+    heads = first.select(F.col("a").alias("group"), F.col("b").alias("rep"))
+    named = members.join(heads, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
+    grouped = land(named.select("root", "block", "rep", "group"), "groups")
+
+    # second pass: a few sets of each group, in lots, each lot together with sets of the cluster's largest groups
+    sizes = grouped.groupBy("root", "group").agg(F.count("*").alias("n"))
+    spot = Window.partitionBy("group").orderBy(F.xxhash64("rep"), "rep")
+    few = grouped.withColumn("spot", F.row_number().over(spot)).where(F.col("spot") <= STAND_INS).join(sizes, ["root", "group"])
+    few = land(few.select("root", "rep", "group", "n", "spot"), "stand-ins")
+    first_of = Window.partitionBy("root").orderBy(F.desc("n"), "group", "spot")
+    pivots = few.withColumn("at", F.row_number().over(first_of)).where(F.col("at") <= BLOCK).select("root", "rep")
+    counts = few.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("lots"))
+    lots = few.join(counts, "root").select("root", "rep", F.pmod(F.xxhash64("rep"), F.col("lots")).alias("lot"), zero)
+    shown = pivots.join(counts, "root").select("root", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"), F.lit(-1).alias("side"))
+    # a pivot is in its own lot already
+    both = lots.join(pivots, ["root", "rep"], "left_anti").unionByName(shown)
+    job = F.concat_ws("/", F.lit("few"), "root", "lot").alias("job")
+    second = land(_links(both.join(members.select("rep", "text"), "rep").select(job, "side", "rep", "text"), k, share), "links")
+
+    # third pass: sets outside their cluster's largest group so far, against all blocks of the cluster
+    heads = second.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("head"))
+    label = few.join(heads, "rep", "left").groupBy("root", "group", "n").agg(F.min(F.coalesce("head", "rep")).alias("label"))
+    label = land(label, "labels")
+    volume = label.groupBy("root", "label").agg(F.sum("n").alias("n"))
+    main = volume.groupBy("root").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("main"))
+    strays = label.join(main, "root").where("label != main").select("root", "group", "n")
+    counts = strays.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).alias("lots"))
+    outside = grouped.join(strays.drop("n"), ["root", "group"]).join(counts, "root")
+    outside = outside.select("root", "rep", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("lots")).alias("lot"))
+    jobs = counts.select("root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"))
+    jobs = jobs.join(members.select("root", "block").distinct(), "root")
     job = F.concat_ws("/", F.lit("out"), "root", "lot", "block").alias("job")
-    rows = outside.join(members.select("rep", "text"), "rep")
-    one = rows.join(jobs, ["root", "lot"]).select(job, F.lit(0).alias("side"), "rep", "text")
+    one = outside.join(members.select("rep", "text"), "rep").join(jobs, ["root", "lot"]).select(job, zero, "rep", "text")
     two = members.join(jobs, ["root", "block"]).select(job, F.lit(1).alias("side"), "rep", "text")
-    return second.unionByName(_links(one.unionByName(two), k, share))
+    return first.unionByName(second).unionByName(_links(one.unionByName(two), k, share))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,8 +306,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, doc_id: str =
     clusters = land(components(pairs).withColumnRenamed("node", "rep"), "clusters")
     sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
-    members = clusters.join(sizes, "root").join(texts, "rep")
-    # neighbours in an order of the forest go to the same block of a large cluster
+    # one plan at every size: clusters grow with the corpus, so they are never sent whole
+    members = clusters.join(sizes, "root").join(texts.hint("merge"), "rep")
     members = members.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK)))
     members = land(members, "members")
     small = members.where(F.col("size") <= BLOCK)
