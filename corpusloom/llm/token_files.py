@@ -12,11 +12,11 @@ name of its attempt and renames it when it is whole, so a repeated task replaces
 from __future__ import annotations
 
 import struct
-from array import array
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -33,7 +33,7 @@ CHECKSUM_FLAG = 0x80
 
 END_ID = 0
 FRAME_TOKENS = 1 << 18  # a frame is closed when it holds this many ids; a longer document has a frame of its own
-CACHE = 1 << 20  # pieces of text whose ids a task remembers
+CACHE = 1 << 22  # pieces of text whose ids a task remembers
 LEVEL = 3
 _ENCODERS: dict = {}  # of this worker, by path
 MANIFEST = "part int, path string, n_frames int, n_docs long, n_tokens long"
@@ -54,8 +54,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[int, int] = {}
-        self.pool, self.begins, self.filled = np.empty(1 << 20, np.uint32), array("q", [0]), 0
+        self._forget()
+
+    def _forget(self) -> None:
+        """What is known: sorted hashes of pieces, where their ids begin in the pool, how many there are."""
+        self.known, self.begins, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.pool, self.filled = np.empty(1 << 16, np.uint16 if self.width == 2 else np.uint32), 0
 
     @classmethod
     def shared(cls, path: str) -> Encoder:
@@ -69,41 +73,47 @@ class Encoder:
             n = len(offsets) - 1
             starts = _cuts(data, offsets)
             if not len(starts):
-                yield at, np.empty(0, np.uint32), np.zeros(n, np.int64)
+                yield at, self.pool[:0], np.zeros(n, np.int64)
                 continue
             ends = np.r_[starts[1:], len(data)]
-            _, first, which = np.unique(words.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-            begins, sizes = self._encoded(data, starts[first], ends[first])
-            lengths = sizes[which]
+            which, keys = pd.factorize(words.span_hashes(data, starts, ends))
+            some = np.empty(len(keys), np.int64)
+            some[which] = np.arange(len(which))
+            begins, sizes = self._encoded(keys, data, starts[some], ends[some])
+            lengths = sizes[which].astype(np.int64)
             out = np.cumsum(lengths)
             ids = self.pool[np.repeat(begins[which] - (out - lengths), lengths) + np.arange(out[-1])]
             owner = np.searchsorted(offsets, starts, side="right") - 1
             yield at, ids, np.bincount(owner, lengths, n).astype(np.int64)
 
-    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(begin in the pool, number of ids) of each piece."""
+    def _encoded(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin in the pool, number of ids) of each distinct piece."""
         if len(self.known) > CACHE:
-            self.known, self.begins, self.filled = {}, array("q", [0]), 0
-        keys = words.span_hashes(data, starts, ends).tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        if new:
-            raw, where = data.tobytes(), zip(starts[new].tolist(), ends[new].tolist(), strict=True)
+            self._forget()
+        order = np.argsort(keys)
+        sorted_keys = keys[order]
+        at = np.searchsorted(self.known, sorted_keys)
+        new = np.ones(len(keys), bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != sorted_keys
+        if new.any():
+            raw = data.tobytes()
+            where = zip(starts[order][new].tolist(), ends[order][new].tolist(), strict=True)
             encodings = self.tokenizer.encode_batch_fast([raw[s:e].decode() for s, e in where], add_special_tokens=False)
             ids = [e.ids for e in encodings]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-            while self.filled + len(flat) > len(self.pool):
-                self.pool = np.r_[self.pool, np.empty_like(self.pool)]
-            self.pool[self.filled : self.filled + len(flat)] = flat
-            count = len(self.begins) - 1
-            self.known.update(zip((keys[i] for i in new), range(count, count + len(new)), strict=True))
-            self.begins.extend((self.filled + np.cumsum(lengths)).tolist())
-            self.filled += len(flat)
-        at = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        begins = np.frombuffer(self.begins, np.int64)
-        found = begins[at], begins[at + 1] - begins[at]
-        del begins
-        return found
+            lengths = np.fromiter(map(len, ids), np.int32, len(ids))
+            total = int(lengths.sum())
+            while self.filled + total > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+            self.pool[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(ids), self.pool.dtype, total)
+            self.begins = np.insert(self.begins, at[new], self.filled + np.cumsum(lengths) - lengths)
+            self.sizes = np.insert(self.sizes, at[new], lengths)
+            self.known = np.insert(self.known, at[new], sorted_keys[new])
+            self.filled += total
+            at = np.searchsorted(self.known, sorted_keys)
+        begins, sizes = np.empty(len(keys), np.int64), np.empty(len(keys), np.int32)
+        begins[order], sizes[order] = self.begins[at], self.sizes[at]
+        return begins, sizes
 
 
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -265,7 +275,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
             for at, ids, counts in encoder.ids(batch.column(1)):
                 ends = np.cumsum(counts)
                 for i, (c, e) in enumerate(zip(counts, ends, strict=True)):
-                    writer.add(doc_ids[at + i], np.r_[ids[e - c : e], np.uint32(end_id)])
+                    writer.add(doc_ids[at + i], np.append(ids[e - c : e], ids.dtype.type(end_id)))
         if writer is not None:
             writer.close()
             stream.close()
