@@ -24,9 +24,10 @@ def tail_holdout(
 ) -> DataFrame:
     """Flag the last ``k`` rows by ``order``, which must be unique; with ``k`` rows or fewer, all of them.
 
-    Every row has a flag: with ``k`` of 0, and where ``order`` is NULL, it is false.
+    Every row has a flag: with ``k`` of 0, and where ``order`` is NULL, it is false. The flag is a conjunction, so that
+    a filter on it still becomes a pushed range on the scan.
     """
-    return df.withColumn(flag, F.coalesce(F.col(order) >= _cut(df, order, k), F.lit(False)) if k else F.lit(False))
+    return df.withColumn(flag, F.col(order).isNotNull() & (F.col(order) >= _cut(df, order, k)) if k else F.lit(False))
 
 
 def group_holdout(

@@ -26,15 +26,18 @@ def test_every_epoch_covers_each_key_once(spark, n, size, digits):
 
 
 def test_schedule(spark):
-    rows = batches.step_schedule(spark, 103, batch_size=4, epochs=2, lr=0.5, warmup=10).orderBy("step").collect()
+    def manifest(n, epochs=1):
+        return batches.shuffle_batches(spark.range(n).withColumnRenamed("id", "doc_id"), epochs=epochs, batch_size=4, seed=1)
+
+    rows = batches.step_schedule(manifest(103, 2), lr=0.5, warmup=10).orderBy("step").collect()
     per, total = math.ceil(103 / 4), math.ceil(103 / 4) * 2
     assert len(rows) == total
     for r in rows:
         rate = r.step / 10 if r.step < 10 else (total - r.step) / (total - 10)
         assert r.lr == pytest.approx(0.5 * rate) and r.epoch == r.step // per
-    short = batches.step_schedule(spark, 4, batch_size=4, warmup=10).collect()
+    short = batches.step_schedule(manifest(4), warmup=10).collect()
     assert [r.lr for r in short] == [0.0]
-    assert batches.step_schedule(spark, 0).count() == 0
+    assert batches.step_schedule(manifest(0)).count() == 0
 
 
 def test_metric_log(spark, tmp_path):

@@ -182,3 +182,48 @@ def test_cut_pairs(spark):
     for r in found:
         assert r.input + r.reference == f"第一，行。第{r.id}行。末" and r.n in (1, 2)
         assert r.n_tokens == len(r.input.replace(str(r.id), "#"))
+
+
+@pytest.mark.parametrize("broadcast_floats", [40_000_000, 0])
+def test_odd_vectors_and_pairs_mean_the_same_on_both_sides_of_the_limit(spark, broadcast_floats):
+    table = [("a", [1.0, 0.0]), ("b", None), ("c", [0.8, 0.6]), ("c", [9.0, 9.0]), (None, [1.0, 1.0]), ("d", [0.0, 1.0])]
+    vectors = spark.createDataFrame(table, "token string, vector array<float>")
+    pairs = [(1, ["a"], ["c"]), (1, ["b"], ["b"]), (1, ["a"], ["b"]), (None, ["d", None], ["c"]), (2, None, ["a"]), (2, [], [])]
+    df = spark.createDataFrame(pairs, "id long, cand_tokens array<string>, ref_tokens array<string>")
+    out = scoring.match_score(df, vectors, broadcast_floats=broadcast_floats).collect()
+    found = sorted(round(r.precision, 6) for r in out)
+    assert found == [0.0, 0.0, 0.0, 0.6, 0.8, 1.0]
+    wrong = spark.createDataFrame([("a", [1.0]), ("b", [1.0, 2.0])], "token string, vector array<float>")
+    with pytest.raises(ValueError):
+        scoring.match_score(df, wrong, broadcast_floats=broadcast_floats)
+
+
+def test_frequent_pair_that_the_counts_lack(spark):
+    """A third of the scored pairs is one that was never counted."""
+    docs = [[8, 9] * 6 + [4, 5, 6] * 8 for _ in range(60)]
+    counts, size = pair_counts(DOCS), 10
+    found = ngram.document_loss(id_rows(spark, docs), ngram.fit_ngram(id_rows(spark, DOCS)), size)
+    before = Counter()
+    for (a, _), n in counts.items():
+        before[a] += n
+    steps = list(zip(docs[0], docs[0][1:]))
+    want = sum(-math.log((counts[s] + 1) / (before[s[0]] + size)) for s in steps) / len(steps)
+    assert [r.loss for r in found.collect()] == [pytest.approx(want)] * 60
+
+
+def test_two_models_in_one_pass(spark):
+    one, two = ngram.fit_ngram(id_rows(spark, DOCS)), ngram.fit_ngram(id_rows(spark, TEST))
+    both = one.withColumn("model", F.lit("x")).unionByName(two.withColumn("model", F.lit("y")))
+    found = {(r.model, r.doc_id): r.loss for r in ngram.document_loss(id_rows(spark, TEST), both, 10, model="model").collect()}
+    for name, counts in (("x", one), ("y", two)):
+        for r in ngram.document_loss(id_rows(spark, TEST), counts, 10).collect():
+            assert found.pop((name, r.doc_id)) == pytest.approx(r.loss)
+    assert not found
+
+
+def test_pairs_without_an_answer_stay(spark):
+    pairs = spark.createDataFrame([(1, "in ", "a b"), (2, "in ", "c")], "doc_id long, input string, reference string")
+    generated = spark.createDataFrame([(1, "in a b", "in a")], "doc_id long, original string, finetuned string")
+    scored = evaluation.score_models(evaluation.attach_candidates(pairs, generated, "doc_id"), "doc_id")
+    found = {(r.doc_id, r.model): r.f1 for r in scored.collect()}
+    assert found == {(1, "original"): 1.0, (1, "finetuned"): pytest.approx(2 / 3), (2, "original"): 0.0, (2, "finetuned"): 0.0}

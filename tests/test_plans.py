@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import pretokenize
 from corpusloom.operators import scoring, vocab
+from corpusloom.plans.catalog import QUERIES
 from corpusloom.plans.corpora import titled_lyrics, tokenized
 from corpusloom.plans.tables import lyrics, texts
-from corpusloom.session import spread
 
 
 def physical(df) -> str:
@@ -28,7 +28,7 @@ def test_encoding_and_exact_scores_do_not_shuffle(spark, sf_small):
     assert "Exchange" not in physical(vocab.to_blocks(rows, words, wrap=True))
     none = F.array().cast("array<string>")
     pairs = docs.select("doc_id", pretokenize(F.col("text")).alias("cand_tokens"), none.alias("ref_tokens"))
-    assert "Exchange" not in physical(scoring.match_score(pairs, key="doc_id"))
+    assert "Exchange" not in physical(scoring.match_score(pairs))
 
 
 def test_test_split_prunes_at_the_scan(spark, sf_small):
@@ -38,8 +38,6 @@ def test_test_split_prunes_at_the_scan(spark, sf_small):
     assert "n_chars" not in plan
 
 
-def test_inputs_with_enough_splits_are_left_alone(spark):
-    many = spark.range(0, 1000, 1, 64)
-    few = spark.range(0, 1000, 1, 1)
-    assert spread(many) is many
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_no_query_deals_rows_round_robin(spark, sf_small):
+    for name in ("split_summary", "k2_token_count", "e4_pairs", "e5_match_documents"):
+        assert "RoundRobin" not in physical(QUERIES[name](spark, sf_small))

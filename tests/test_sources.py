@@ -117,16 +117,34 @@ def test_text_tree(spark, tmp_path):
         ("SNH48_1", "爱情 日记_3"): "一 二\r\n三\r四",
         ("a+b c", "x%20y+z"): "plain",
         ("林", "e"): "\n",
+        ("林", "empty"): "",
+        ("_hidden", "_u"): "under",
+        (".dot", ".d"): "dot",
     }
     for (artist, song), text in files.items():
         (root / artist).mkdir(parents=True, exist_ok=True)
         (root / artist / f"{song}.txt").write_bytes(text.encode())
     (root / "stray.txt").write_text("skipped")
-    (root / "林" / "empty.txt").write_text("")
     rows = {(r.artist, r.song): r.text for r in readers.read_text_tree(spark, str(root)).collect()}
     assert rows == {**files, ("SNH48_1", "爱情 日记_3"): "一 二\n三\n四"}
 
 
+def test_text_tree_round_trip(spark, tmp_path):
+    rows = [("a", "_x", "one"), ("a", "y", None), ("日", "z", "two\n")]
+    df = spark.createDataFrame(rows, "artist string, song string, text string")
+    root = writers.write_text_tree(df, str(tmp_path / "tree"))
+    found = sorted(tuple(r) for r in readers.read_text_tree(spark, root).collect())
+    assert found == sorted((a, s, t or "") for a, s, t in rows)
+
+
+def test_blank_lines_number_alike_on_both_paths(spark, tmp_path):
+    path = tmp_path / "lyrics.csv"
+    path.write_bytes(b'l,t,o,b,g\n\n1,one,x,"a\n\nb",en\n\n\n2,two,x,c,en\n\n3,three,x,"d\n",fr\n')
+    found = [sorted(tuple(r) for r in readers.read_lyrics_csv(spark, str(path), splittable=x).collect()) for x in (False, True)]
+    assert found[0] == found[1]
+    assert found[0] == [(0, "one", "a\n\nb", "en"), (1, "two", "c", "en"), (2, "three", "d\n", "fr")]
+
+
 def test_prompts(spark, tmp_path):
     path = tmp_path / "input.txt"
     path.write_bytes("第一 段\r\n\r\n第二".encode())

@@ -89,3 +89,11 @@ def test_example_count(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "split string")
     assert {(r.split, r.n) for r in example_count(df, "split").collect()} == {("a", 2), ("b", 1)}
     assert example_count(df).first().n == 3
+
+
+@pytest.mark.parametrize("k", [0, 1, 3, 50])
+def test_every_row_is_on_one_side(spark, k):
+    df = spark.createDataFrame([(i if i % 4 else None, i) for i in range(20)], "doc_id long, n long")
+    flagged = splits.tail_holdout(df, "doc_id", k)
+    test, train = flagged.where("is_test").count(), flagged.where("NOT is_test").count()
+    assert test + train == 20 and test == min(k, 15)

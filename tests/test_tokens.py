@@ -12,7 +12,7 @@ from corpusloom.functions import fixed
 from corpusloom.functions import tokens as tk
 from corpusloom.operators import vocab as vb
 from corpusloom.operators.dialogs import dialog_strings
-from corpusloom.plans.corpora import chat_examples, lyrics_examples, news_examples, song_examples, tokenized
+from corpusloom.plans.corpora import chat_examples, dialog_examples, lyrics_examples, news_examples, song_examples, tokenized
 
 TEXTS = ["to be, or not to be", "", "日月 Its OK！ no", "be be be", None, "zebra　quay"]
 
@@ -56,7 +56,7 @@ def test_vocabulary_order_and_reserved_ids(spark, rows):
     }
     assert words.reserved == {t: i for i, t in table.items() if t.startswith("[")}
     assert (words.pad, words.unknown, words.wrap) == (0, 1, (2, 3))
-    assert vb.Vocab(words.table, {"[SEP]": 3, "[UNK]": 1}).pad == 3
+    assert vb.Vocab(words.table, 9, {"[SEP]": 3, "[UNK]": 1}).pad == 3
 
 
 @pytest.mark.parametrize("limit", [100, 2])
@@ -79,6 +79,41 @@ def test_unknown_tokens(spark, rows, limit):
     assert encoded.first().ids == [1, 4, 1, 1, 1, 1, 4]
 
 
+@pytest.mark.parametrize("limit", [100, 2])
+def test_odd_rows_mean_the_same_on_both_sides_of_the_limit(spark, rows, limit):
+    words = vb.Vocab.from_table(vb.build_vocab(rows).table, limit=limit)
+    odd = [(1, ["be", None]), (1, ["to"]), (None, ["zzz", "be"]), (None, []), (2, None), (1, ["be", None])]
+    df = spark.createDataFrame(odd, "doc_id long, tokens array<string>")
+    be, to = (next(r.id for r in words.table.collect() if r.token == t) for t in ("be", "to"))
+    found = vb.encode_ids(df, words).collect()
+    key = lambda x: str(x)
+    assert sorted((r.ids for r in found), key=key) == sorted([[be, 1], [to], [1, be], [], None, [be, 1]], key=key)
+    ids = spark.createDataFrame([(1, [be, 99_999]), (1, [-100, None, to]), (2, None), (2, [])], "doc_id long, ids array<int>")
+    out = sorted((r.decoded for r in vb.decode_ids(ids, words).collect()), key=key)
+    assert out == sorted(["be [UNK]", "[UNK] [UNK] to", None, ""], key=key)
+
+
+@pytest.mark.parametrize("table", [[(0, "[UNK]"), (1, "a"), (2, "a")], [(0, "[UNK]"), (1, None)], [(0, "[UNK]"), (0, "a")]])
+def test_repeated_or_missing_vocabulary_rows_are_refused(spark, table):
+    with pytest.raises(ValueError):
+        vb.Vocab.from_table(spark.createDataFrame(table, "id int, token string"))
+
+
+def test_whole_vocabulary_restores_every_token(spark, rows):
+    words = vb.build_vocab(rows)
+    back = vb.decode_ids(vb.encode_ids(rows, words), words)
+    assert all(r.decoded == (None if r.tokens is None else " ".join(r.tokens)) for r in back.collect())
+
+
+def test_truncation_report_counts_what_blocks_cut(spark):
+    df = spark.createDataFrame([(i, ["a"] * n) for i, n in enumerate([3, 5, 6, 7, 9])], "doc_id long, tokens array<string>")
+    words = vb.build_vocab(df)
+    sizes = {"block": 9, "reserve": 2, "wrap": True}
+    kept = vb.to_blocks(df, words, **sizes).select(F.sum(F.col("n_tokens") - 2)).first()[0]
+    report = vb.truncation_report(df.select(F.size("tokens").alias("n_tokens")), **sizes).first()
+    assert report.tokens_lost == 30 - kept and report.n_over == 3
+
+
 def test_supplied_vocabulary_must_be_dense(spark):
     table = spark.createDataFrame([(0, "[UNK]"), (2, "a")], "id int, token string")
     with pytest.raises(ValueError):
@@ -136,6 +171,17 @@ def test_counts_match_a_plain_counter(spark):
     assert found == Counter(" ".join(texts).split())
 
 
+def test_dialogues_as_arrays(spark):
+    rows = [("a", ["one", "two"]), ("b", []), ("c", None), ("d", ["x"])]
+    df = spark.createDataFrame(rows, "dialog_id string, content array<string>")
+    listed = spark.createDataFrame([("a",), ("b",), ("c",)], "dialog_id string")
+    marks = [*fixed.BASE_TOKENS, *fixed.SPEAKER_TOKENS]
+    words = vb.build_vocab(tokenized(df.select(F.explode("content").alias("text")), reserved=marks))
+    out = {r.dialog_id: r for r in dialog_examples(df, listed, words, block=12).collect()}
+    assert set(out) == {"a", "b", "c"}
+    assert out["b"].input_ids == out["c"].input_ids == [2, *[0] * 9] and out["a"].n_tokens == 7
+
+
 def test_corpora_end_to_end(spark):
     songs = [(i, f"t{i}", f"line one\nline {i}", "en" if i % 3 else "fr") for i in range(12)]
     lyric = spark.createDataFrame(songs, "ordinal long, title string, body string, lang string")
@@ -145,7 +191,7 @@ def test_corpora_end_to_end(spark):
     assert all(len(r.input_ids) == 16 for r in blocks)
 
     news = spark.createDataFrame([(0, "line one"), (1, None), (2, "")], "ordinal long, output string")
-    out = {r.ordinal: r for r in news_examples(news, words, block=6).collect()}
+    out = {r.ordinal: r for r in news_examples(news, words, block=8).collect()}
     assert set(out) == {0, 2} and out[2].input_ids == [2, 3, 0, 0, 0, 0]
 
     turns = spark.createDataFrame(
@@ -158,7 +204,7 @@ def test_corpora_end_to_end(spark):
     assert [r.input_ids for r in chat] == [[2, s1, ids["line"], 3, s2, ids["one"], 3, 0, 0, 0]]
 
     tree = spark.createDataFrame([(f"g{i:02d}", "s", "line one") for i in range(12)], "artist string, song string, text string")
-    kept = song_examples(tree, words, block=8).collect()
+    kept = song_examples(tree, words, block=10).collect()
     assert sorted(r.artist for r in kept) == ["g00", "g01"]
     assert kept[0].input_ids[:5] == [2, ids["line"], 1, ids["one"], 3]
 
@@ -173,5 +219,5 @@ def test_chat_block_of_a_long_conversation_equals_the_cut_of_its_whole_string(sp
     for block in (10, 33, 700):
         found = {r.conv_id: r.input_ids for r in chat_examples(turns, listed, words, block=block, reserve=0).collect()}
         strings = tokenized(dialog_strings(turns), "out", reserved=marks)
-        whole = vb.to_blocks(strings, words, block=block, key="conv_id").collect()
+        whole = vb.to_blocks(strings, words, block=block).collect()
         assert found == {r.conv_id: r.input_ids for r in whole}
