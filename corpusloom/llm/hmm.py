@@ -182,12 +182,12 @@ def fit_chain(texts: DataFrame, text: str = "text") -> Chain:
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block, token``: the distinct words of each block, from rows sorted by block."""
+    """``block, token``: the distinct words of each block's part of a batch, from rows sorted by block."""
     for batch in batches:
-        blocks = batch.column(0).to_numpy()
+        blocks, texts = batch.column("block").to_numpy(), batch.column("text")
         begins = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else []
         for s, e in zip(begins, np.r_[begins[1:], len(blocks)].astype(int), strict=True):
-            for _, hashes, _ in _sequences(batch.column(1).slice(s, e - s), BLOCK_BYTES):
+            for _, hashes, _ in _sequences(texts.slice(s, e - s), BLOCK_BYTES):
                 values = np.unique(hashes)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), blocks[s])), pa.array(values.view(np.int64))], names=["block", "token"])
 
@@ -245,6 +245,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     # a repeated id may be hot: the text's own hash spreads its rows
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
-    asked = dealt.select("block", "text").sortWithinPartitions("block").mapInArrow(_ask, "block long, token long").distinct()
+    # all columns go through, so that both readers of the dealt texts share one exchange; a block may ask twice
+    asked = dealt.sortWithinPartitions("block").mapInArrow(_ask, "block long, token long")
     given = asked.join(counts, "token").select("block", "token", "c")
     return dealt.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(_score(chain, sums, kinds), SCORES)
