@@ -34,8 +34,9 @@ CHECKSUM_FLAG = 0x80
 END_ID = 0
 FRAME_TOKENS = 1 << 18  # a frame is closed when it holds this many ids; a longer document has a frame of its own
 CACHE = 1 << 22  # pieces of text whose ids a task remembers
+ENCODED = 4096  # new pieces encoded at once
+ENCODED_BYTES = 1 << 20  # text cut and looked up at once
 LEVEL = 3
-_ENCODERS: dict = {}  # of this worker, by path
 MANIFEST = "part int, path string, n_frames int, n_docs long, n_tokens long"
 
 
@@ -63,13 +64,14 @@ class Encoder:
 
     @classmethod
     def shared(cls, path: str) -> Encoder:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+        kept = words.worker_state()
+        if ("encoder", path) not in kept:
+            kept["encoder", path] = cls(path)
+        return kept["encoder", path]
 
     def ids(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids of the rows one after another, number of ids of each row) of each piece of the column."""
-        for at, data, offsets in words.pieces(texts):
+        for at, data, offsets in words.pieces(texts, ENCODED_BYTES):
             n = len(offsets) - 1
             starts = _cuts(data, offsets)
             if not len(starts):
@@ -99,8 +101,10 @@ class Encoder:
         if new.any():
             raw = data.tobytes()
             where = zip(starts[order][new].tolist(), ends[order][new].tolist(), strict=True)
-            encodings = self.tokenizer.encode_batch_fast([raw[s:e].decode() for s, e in where], add_special_tokens=False)
-            ids = [e.ids for e in encodings]
+            strings = [raw[s:e].decode() for s, e in where]
+            ids = []
+            for i in range(0, len(strings), ENCODED):  # an encoding holds far more than its ids
+                ids += [e.ids for e in self.tokenizer.encode_batch_fast(strings[i : i + ENCODED], add_special_tokens=False)]
             lengths = np.fromiter(map(len, ids), np.int32, len(ids))
             total = int(lengths.sum())
             while self.filled + total > len(self.pool):

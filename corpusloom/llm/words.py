@@ -6,7 +6,9 @@ inside a longer UTF-8 character, so working on bytes equals working on character
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,11 @@ SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 # everything in ASCII but letters and digits
 NOT_ALNUM = tuple(b for b in range(128) if not chr(b).isalnum())
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS: dict[str, np.ndarray] = {}
+
+
+def worker_state() -> dict:
+    """What the tasks of one Python worker share. Task functions travel by value, so each task has module globals of its own."""
+    return vars(sys.modules.setdefault("_corpusloom_worker", ModuleType("_corpusloom_worker"))).setdefault("kept", {})
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,14 +46,15 @@ def _byte_codes() -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the (odd) base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
+    kept = worker_state()
+    if "up" not in kept or len(kept["up"]) < n:
         size = 1 << int(n - 1).bit_length() if n > 1 else 1
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for name, base in (("up", _BASE), ("down", inverse)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
+            kept[name] = np.multiply.accumulate(steps)
+    return kept["up"], kept["down"]
 
 
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
