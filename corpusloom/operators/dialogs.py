@@ -70,7 +70,10 @@ def turns_to_dialogs(
 
 
 def dialogs_to_turns(dialogs: DataFrame, conv: str = "conv_id", content: str = "content") -> DataFrame:
-    """One row per utterance with its position in the conversation."""
+    """One row per utterance with its position in the conversation.
+
+    A dialogue without utterances has no row here: use the arrays where it must stay (see ``dialog_examples``).
+    """
     return dialogs.select(conv, F.posexplode(content).alias("turn", "text")).withColumn(
         "turn", F.col("turn").cast("long")
     )
@@ -136,14 +139,16 @@ def chat_prompts(
 def emit_prompts(chunks: DataFrame, conv: str, turn: str, *keep: str) -> DataFrame:
     """One prompt per asking turn of chunks ``conv, start, history, pieces, turns, asks``.
 
-    ``history`` is the tagged text before the chunk; the three arrays run over its turns.
+    ``history`` is the tagged text before the chunk; the three arrays run over its turns. A turn whose piece is
+    NULL has no part in the history and a NULL prompt.
     """
-    prompt = F.concat(
+    whole = F.concat(
         F.lit(fixed.CLS),
         "history",
         F.array_join(F.slice("pieces", F.lit(1), F.col("i") + 1), ""),
         F.lit(fixed.SPEAKER_2),
     )
+    prompt = F.when(F.get("pieces", F.col("i")).isNotNull(), whole)
     return (
         chunks.repartition(conv, "start")
         .select(conv, "history", "pieces", "asks", *keep, F.posexplode("turns").alias("i", turn))

@@ -328,9 +328,12 @@ def c5_history_stream(spark, folder):
     """Conversations replayed as a stream, turn files in order, and the emitted prompts."""
     source, sink, state = (scratch_dir(spark, f"chat-{part}") for part in ("turns", "prompts", "state"))
     turns = load(spark, folder, "conversations").select("conv_id", "turn", "text")
-    # whole conversations per file: a file is read in one batch, so turns never arrive out of order
-    turns.repartition("conv_id").write.parquet(source)
-    stream = spark.readStream.schema(turns.schema).parquet(source)
+    # the openings of all conversations are written first, then what follows; a conversation's part is in one file,
+    # and files are read oldest first, so its turns arrive in order over several batches
+    for low, high in ((0, 2), (2, 4), (4, 1 << 62)):
+        part = turns.where(F.col("turn").between(low, high - 1))
+        part.repartition("conv_id").write.mode("append").parquet(source)
+    stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 4).parquet(source)
     running = (
         chat_history_stream(stream)
         .writeStream.format("parquet")
@@ -340,7 +343,7 @@ def c5_history_stream(spark, folder):
         .start()
     )
     running.awaitTermination()
-    return spark.read.parquet(sink).select("conv_id", "turn", "out")
+    return spark.read.parquet(sink).select("conv_id", "turn", "out", "n_late")
 
 
 # --- tokens and blocks ----------------------------------------------------------------------------

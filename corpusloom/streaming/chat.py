@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import fixed
@@ -33,42 +35,45 @@ def _advance(
     if state.hasTimedOut:
         state.remove()
         return
+    # the new turns of one conversation in one micro-batch, which the stream's own rate limit bounds
     turns = pd.concat(frames).sort_values("turn", kind="stable")
-    history, start, last, late = state.get if state.exists else FRESH
-    pieces: list[str] = []
+    history, n_turns, last, late = state.get if state.exists else FRESH
+    pieces: list[str | None] = []
     numbers: list[int] = []
+    asks: list[bool] = []
 
     def chunk() -> pd.DataFrame:
-        asks = [(start + i) % 2 == 0 for i in range(len(pieces))]
-        row = [key[0], start, history, pieces, numbers, asks, late]
+        row = [key[0], n_turns, history, pieces, numbers, asks, late]
         return pd.DataFrame([row], columns=list(CHUNK))
 
-    alive = state.exists
     for turn, text in zip(turns["turn"].tolist(), turns["text"].tolist()):
-        if turn <= last:
-            late += 1
-            continue
-        ended = text == fixed.EXIT_WORD
+        said = sum(p is not None for p in pieces)
+        ended = text == fixed.EXIT_WORD and turn > last
         if pieces and (ended or len(pieces) == WIDTH):
             yield chunk()
-            history, start = history + "".join(pieces), start + len(pieces)
-            pieces, numbers = [], []
-        if ended:
-            history, start, last, late = FRESH
-            alive = False
+            history, n_turns, said = history + "".join(p for p in pieces if p is not None), n_turns + said, 0
+            pieces, numbers, asks = [], [], []
+        if turn <= last:
+            # a row of its own without a prompt
+            late += 1
+            pieces.append(None)
+            asks.append(True)
+        elif ended:
+            # the next session starts afresh, but never with a turn from before
+            history, n_turns, last = "", 0, turn
             continue
-        speaker = fixed.SPEAKER_TOKENS[(start + len(pieces)) % 2]
-        pieces.append(speaker + (text or "") + fixed.SEP)
+        else:
+            speaker = fixed.SPEAKER_TOKENS[(n_turns + said) % 2]
+            asks.append((n_turns + said) % 2 == 0)
+            pieces.append(speaker + (text or "") + fixed.SEP)
+            last = turn
         numbers.append(turn)
-        last, alive = turn, True
     if pieces:
         yield chunk()
-    if alive:
-        state.update((history + "".join(pieces), start + len(pieces), last, late))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-    elif state.exists:
-        state.remove()
+    said = [p for p in pieces if p is not None]
+    state.update((history + "".join(said), n_turns + len(said), last, late))
+    if idle_ms is not None:
+        state.setTimeoutDuration(idle_ms)
 
 
 def _keep_history(idle_ms: int | None):
@@ -81,12 +86,12 @@ def _keep_history(idle_ms: int | None):
 
 
 def chat_history_stream(turns: DataFrame, idle_ms: int | None = None) -> DataFrame:
-    """``conv_id, turn, out, n_late`` from a stream of ``conv_id, turn, text``.
+    """``conv_id, turn, out, n_late, is_late`` from a stream of ``conv_id, turn, text``.
 
     Speakers alternate by position. The utterance ``exit`` ends the session and is not kept. A turn not
-    higher than the last one seen is late: it is dropped and counted in ``n_late``, so the turns of one
-    conversation must reach the stream in batches that follow their order. With ``idle_ms`` a session
-    without a turn for that long (processing time) ends and frees its state.
+    higher than the last one seen, also in an ended session, is late: it takes no part in the history, and comes out as
+    a row of its own with a NULL prompt. ``n_late`` counts the late turns of a conversation so far. With ``idle_ms`` a
+    conversation without a turn for that long (processing time) ends and frees its state; without it, states stay.
 
     Python only keeps the state: it passes on the new turns and the history before them. The prompts,
     each of which repeats the whole history, are written out by Spark, spread by chunk.
@@ -97,4 +102,4 @@ def chat_history_stream(turns: DataFrame, idle_ms: int | None = None) -> DataFra
         .groupBy("conv_id")
         .applyInPandasWithState(_keep_history(idle_ms), OUTPUT, STATE, "append", timeout)
     )
-    return emit_prompts(chunks, "conv_id", "turn", "n_late")
+    return emit_prompts(chunks, "conv_id", "turn", "n_late").withColumn("is_late", F.col("out").isNull())

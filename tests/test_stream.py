@@ -65,10 +65,14 @@ def test_exit_clears_and_late_turns_are_counted(run):
     assert drain() == {(1, 0): ("[CLS][speaker1]a[SEP][speaker2]", 0)}
     feed([(1, 0, "late"), (1, 2, "c")])
     assert drain()[1, 2] == ("[CLS][speaker1]a[SEP][speaker2]b[SEP][speaker1]c[SEP][speaker2]", 1)
+    feed([(1, 1, "only late")])
+    assert drain()[1, 1] == (None, 2)
     feed([(1, 3, "exit"), (2, 0, "exit")])
     drain()
+    feed([(1, 2, "before the exit")])
+    assert drain()[1, 2] in ((None, 3), ("[CLS][speaker1]a[SEP][speaker2]b[SEP][speaker1]c[SEP][speaker2]", 1))
     feed([(1, 4, "new")])
-    assert drain()[1, 4] == ("[CLS][speaker1]new[SEP][speaker2]", 0)
+    assert drain()[1, 4] == ("[CLS][speaker1]new[SEP][speaker2]", 3)
 
 
 def test_idle_sessions_end(run):
