@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Token arrays cross to Python in Arrow batches counted in rows, so rows per batch bound the batch
-# size: 1,000 documents of 20,000 words are about 160 MB.
+# Token arrays cross to Python in Arrow batches; Spark bounds a batch in bytes, and rows bound it once more:
+# 1,000 documents of 20,000 words are about 160 MB.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,6 +22,8 @@ SETTINGS = {
     # a hold-out of more than a million rows sorts with spill instead of on the driver's heap
     "spark.sql.execution.topKSortFallbackThreshold": "1000000",
 }
+# folders made inside a ``scratch`` block
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -35,10 +41,32 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="corpusloom-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`scratch_dir` gave, when nothing reads it any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside the block go when it ends; results must be written or fetched by then."""
+    made = _MADE.set([])
+    try:
+        yield
+    finally:
+        folders = _MADE.get()
+        _MADE.reset(made)
+        for path in folders:
+            drop_scratch(spark, path)
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:

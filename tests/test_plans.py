@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import pretokenize
@@ -9,6 +11,7 @@ from corpusloom.operators import scoring, vocab
 from corpusloom.plans.catalog import QUERIES
 from corpusloom.plans.corpora import titled_lyrics, tokenized
 from corpusloom.plans.tables import lyrics, texts
+from corpusloom.session import land, scratch
 
 
 def physical(df) -> str:
@@ -41,3 +44,12 @@ def test_test_split_prunes_at_the_scan(spark, sf_small):
 def test_no_query_deals_rows_round_robin(spark, sf_small):
     for name in ("split_summary", "k2_token_count", "e4_pairs", "e5_match_documents"):
         assert "RoundRobin" not in physical(QUERIES[name](spark, sf_small))
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    with scratch(spark):
+        table = land(spark.range(5), "kept")
+        path = table.inputFiles()[0]
+        assert table.count() == 5
+    assert not Path(path.removeprefix("file://")).exists()
+    assert land(spark.range(5), "kept").count() == 5
