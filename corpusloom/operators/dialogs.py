@@ -35,21 +35,15 @@ def _tagged_chunks(
 ) -> DataFrame:
     """:func:`_chunks` with ``start``, the position of the first turn, and the tagged ``pieces``.
 
-    Positions come from turn counts alone: the running sum sees one narrow row per chunk, and joins
-    back on the key the chunks are already partitioned by.
+    The turns are read once: positions are running sums of the gathered chunks' sizes.
     """
     before = Window.partitionBy(conv).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        turns.groupBy(conv, _chunk_of(turn, width))
-        .agg(F.count("*").alias("n"))
-        .select(conv, "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int").alias("start"))
-    )
+    start = F.coalesce(F.sum(F.size("items")).over(before), F.lit(0)).cast("int")
     pieces = F.transform(
         "items",
         lambda item, i: tagged_turn(item["text"], F.col("start") + i, None if role is None else item["role"]),
     )
-    chunks = _chunks(turns, conv, turn, text, role, width)
-    return chunks.join(starts, [conv, "chunk"]).withColumn("pieces", pieces)
+    return _chunks(turns, conv, turn, text, role, width).withColumn("start", start).withColumn("pieces", pieces)
 
 
 def turns_to_dialogs(
@@ -149,9 +143,11 @@ def emit_prompts(chunks: DataFrame, conv: str, turn: str, *keep: str) -> DataFra
         F.lit(fixed.SPEAKER_2),
     )
     prompt = F.when(F.get("pieces", F.col("i")).isNotNull(), whole)
+    # only asking turns reach the generator, which copies the history for each
+    places = F.filter(F.sequence(F.lit(0), F.size("turns") - 1), lambda i: F.get("asks", i))
     return (
-        chunks.repartition(conv, "start")
-        .select(conv, "history", "pieces", "asks", *keep, F.posexplode("turns").alias("i", turn))
-        .where(F.get("asks", F.col("i")))
-        .select(conv, turn, prompt.alias("out"), *keep)
+        chunks.where(F.size("turns") > 0)
+        .repartition(conv, "start")
+        .select(conv, "history", "pieces", "turns", *keep, F.explode(places).alias("i"))
+        .select(conv, F.get("turns", F.col("i")).alias(turn), prompt.alias("out"), *keep)
     )

@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+# A key with more than one in HOT_SHARE of the rows is split, into as many groups as it holds such shares: there are
+# at most HOT_SHARE hot keys, and at most twice as many groups.
+HOT_SHARE = 1_000
 
 
-def salted_lookup(
-    rows: DataFrame, lookup: DataFrame, on: str, spread_by: str, salts: int = SALTS
-) -> DataFrame:
-    """Left join where each key's rows are dealt over ``salts`` copies of its lookup row.
+def salted_lookup(rows: DataFrame, lookup: DataFrame, on: str, spread_by: str) -> DataFrame:
+    """Left join in which the rows of a hot key are dealt over several copies of its lookup row.
 
-    ``lookup`` is a vocabulary-like table, so its copies stay small next to ``rows``; a key that fills
-    a third of ``rows`` meets them in ``salts`` separate groups.
+    Hot keys are found by counting ``rows``, which are read more than once: pass a written table. The share
+    a group may hold does not depend on the size of the input. ``spread_by`` tells the rows of a key apart.
     """
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    counts = rows.groupBy(on).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    salts = F.ceil(F.col("_n") * HOT_SHARE / total).cast("int")
+    hot = F.broadcast(counts.where(F.col("_n") * HOT_SHARE > total).select(on, salts.alias("_salts")))
+    last = F.coalesce("_salts", F.lit(1))
+    dealt = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), last).cast("int")).drop("_salts")
+    copies = lookup.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last - 1))).drop("_salts")
     return dealt.join(copies, [on, "_salt"], "left").drop("_salt")

@@ -192,7 +192,7 @@ def _score_by_join(pairs: DataFrame, vectors: DataFrame, candidate: str, referen
         for column, is_ref in ((candidate, False), (reference, True))
     ]
     cells = sides[0].unionByName(sides[1]).groupBy("_row", "is_ref", "token").agg(F.count("*").alias("n"))
-    joined = salted_lookup(cells, vectors, "token", "_row")
+    joined = salted_lookup(land(cells, "cells"), vectors, "token", "_row")
     # numbers are dealt by hash, so the rows of a pair stand together; a pair is no larger than its two texts
     sorted_cells = joined.repartition("_row").sortWithinPartitions("_row").select("_row", "is_ref", "token", "n", "vector")
     scores = sorted_cells.mapInArrow(_score_cells, "_row long, precision double, recall double")

@@ -187,7 +187,7 @@ def _replace_by_join(df: DataFrame, source: str, table: DataFrame, default: Colu
         .groupBy("_row", "_word")
         .agg(F.collect_list("_pos").alias("_at"))
     )
-    found = salted_lookup(cells, table, "_word", "_row").select(
+    found = salted_lookup(land(cells, "cells"), table, "_word", "_row").select(
         "_row", F.explode("_at").alias("_pos"), F.coalesce("_value", default).alias("_value")
     )
     rows = found.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "_value"))).alias("_cells"))

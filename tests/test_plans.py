@@ -53,3 +53,8 @@ def test_scratch_tables_go_with_their_block(spark):
         assert table.count() == 5
     assert not Path(path.removeprefix("file://")).exists()
     assert land(spark.range(5), "kept").count() == 5
+
+
+def test_prompts_read_the_turns_once(spark, sf_small):
+    plan = physical(QUERIES["c3_prompts"](spark, sf_small))
+    assert plan.count("Exchange hashpartitioning") <= 4 and plan.count("FileScan") == 1
