@@ -29,8 +29,8 @@ SCREEN = 10.0  # standard errors by which a feature's frequency must differ betw
 STRENGTH = 5.0  # total strength of a text's byte runs; each word that occurs counts 1
 STEPS = 300
 RATE = 0.1
-DECAY = 1e-5
-KEEP_AT = 0.4  # a document stays if its probability of the best grade is at least this
+DECAY = 1e-4
+KEEP_AT = 0.3  # a document stays if its probability of the best grade is at least this
 
 
 @dataclass(frozen=True)
