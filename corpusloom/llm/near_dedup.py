@@ -2,8 +2,9 @@
 
 Every distinct shingle set gets a MinHash signature. The forest is a number of orders of the sets, each by
 another arrangement of the signature; sets that agree on the first ``DEPTH`` values of an order share a
-region of it. A region is sorted by the values that follow, and a set meets the two sets before it, which have
-the longest common prefixes (their depth adapts to how crowded the region is), and the region's first set.
+region of it. A region is sorted by the values that follow, and a set meets the set before it, which has
+the longest common prefix (its depth adapts to how crowded the region is), or, where that is not near, the one before
+and the region's first set.
 However large a region, the work in it is linear. Meetings whose signatures agree enough make clusters, and
 inside clusters links are confirmed on whole sets, so the forest only decides who is compared.
 
@@ -102,7 +103,8 @@ def shingle_signatures(docs: DataFrame, k: int, doc_id: str = "doc_id", text: st
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by region and deeper values: pairs with the two rows before and the region's first row."""
+    """Rows sorted by region and deeper values: pairs with the row before, or, if it is not near, with the one before that and
+    with the region's first row."""
     carry = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -122,6 +124,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             agree = (bits[a[at : at + 65536]] == bits[b[at : at + 65536]]).mean(axis=1)
             # two different values agree in a byte by chance once in 256
             near[at : at + 65536] = (agree - 1 / 256) / (1 - 1 / 256) >= SIMILAR
+        # the neighbour is enough if it is near: it meets the others itself, and edges stay linear in a region's size
+        settled = np.zeros(len(region), bool)
+        settled[b[near & (a == b - 1)]] = True
+        near &= (a == b - 1) | ~settled[b]
         x, y = rep[a[near]], rep[b[near]]
         pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
