@@ -24,7 +24,7 @@ from . import words
 
 WIDTH = 1 << 20  # hashed features, of which the last GRAMS are runs of three bytes
 GRAMS = 1 << 15
-SAMPLE = 16_384  # rated documents expected in the fit; all, if there are fewer
+SAMPLE = 8_192  # rated documents expected in the fit; all, if there are fewer
 SCREEN = 10.0  # standard errors by which a feature's frequency must differ between grades
 STRENGTH = 5.0  # total strength of a text's byte runs; each word that occurs counts 1
 STEPS = 300
