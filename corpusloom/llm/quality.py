@@ -5,8 +5,9 @@ cut the score's line: ``P(grade >= g) = sigmoid(score - threshold_g)``. The weig
 ``P(grade >= g)`` falls with ``g`` for every text, and rare grades are learnt from all others.
 
 The model is fitted on a documented, bounded sample of rated documents, chosen by a hash of the id: Spark makes the sample's
-features and screens them (a feature takes part if its frequency differs between grades by ``SCREEN`` standard errors), and the few
-screened ones, bounded by the sample, are fitted at once. Scoring reads every document once and shuffles nothing.
+features and screens them (a feature takes part if its frequency differs between grades by some standard errors: ``SCREEN`` for words,
+of which a smaller language's are rare but pure, ``SCREEN_GRAMS`` for byte runs), and the few screened ones, bounded by the sample, are
+fitted at once. Scoring reads every document once and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ from . import words
 
 WIDTH = 1 << 20  # hashed features, of which the last GRAMS are runs of three bytes
 GRAMS = 1 << 15
-SAMPLE = 8_192  # rated documents expected in the fit; all, if there are fewer
-SCREEN = 10.0  # standard errors by which a feature's frequency must differ between grades
+SAMPLE = 16_384  # rated documents expected in the fit; all, if there are fewer
+SCREEN = 4.0  # standard errors by which a word's frequency must differ between grades: by chance about 6 words in 100,000 do
+SCREEN_GRAMS = 10.0  # the same for byte runs, which occur in most texts
 STRENGTH = 5.0  # total strength of a text's byte runs; each word that occurs counts 1
+FIT_VALUES = 1 << 18  # feature values of a gradient step held at once
 STEPS = 300
 RATE = 0.1
 DECAY = 1e-4
@@ -123,7 +126,8 @@ def _screened(table: DataFrame, totals: dict[int, int]) -> np.ndarray:
     for g in range(1, max(totals) + 1):
         p = sum(c for x, c in totals.items() if x >= g) / n
         spread = F.sqrt(F.col("n") * p * (1 - p) * (1 - F.col("n") / n) + 1)
-        tests.append(F.abs(F.col(f"n{g}") - F.col("n") * p) / spread >= SCREEN)
+        least = F.when(F.col("feature") < WIDTH - GRAMS, SCREEN).otherwise(SCREEN_GRAMS)
+        tests.append(F.abs(F.col(f"n{g}") - F.col("n") * p) / spread >= least)
     either = tests[0]
     for test in tests[1:]:
         either |= test
@@ -137,19 +141,27 @@ def _fit(found: pa.Table, kept: np.ndarray, grades: int) -> OrdinalModel:
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     values = found["values"].combine_chunks()
     values = values.chunk(0) if isinstance(values, pa.ChunkedArray) else values
-    row = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
-    feature, value = lists.flatten().to_numpy(), values.flatten().to_numpy().astype(np.float64)
+    ends = lists.offsets.to_numpy()
+    feature, value = lists.flatten().to_numpy(), values.flatten().to_numpy()
+    # whole rows, so many at a time that the working arrays stay small whatever the sample holds
+    cuts = np.searchsorted(ends, np.arange(0, int(ends[-1]), FIT_VALUES))
+    cuts = np.unique(np.r_[0, cuts, len(y)])
     size = len(kept)
     x = np.r_[np.zeros(size), np.linspace(-1, 0, grades)]
     first, second = np.zeros_like(x), np.zeros_like(x)
     for step in range(1, STEPS + 1):
-        score = np.bincount(row, x[feature] * value, minlength=len(y))
-        error, pull = np.zeros(len(y)), np.zeros(grades)
-        for g in range(grades):
-            e = 1 / (1 + np.exp(-np.clip(score - x[size + g], -30, 30))) - (y > g)
-            error += e
-            pull[g] = -e.sum()
-        gradient = np.r_[np.bincount(feature, error[row] * value, minlength=size), pull] / len(y)
+        gradient = np.zeros_like(x)
+        for s, t in zip(cuts[:-1], cuts[1:], strict=True):
+            some, part = slice(ends[s], ends[t]), y[s:t]
+            row = np.repeat(np.arange(t - s), np.diff(ends[s : t + 1]))
+            score = np.bincount(row, x[feature[some]] * value[some], minlength=t - s)
+            error = np.zeros(t - s)
+            for g in range(grades):
+                e = 1 / (1 + np.exp(-np.clip(score - x[size + g], -30, 30))) - (part > g)
+                error += e
+                gradient[size + g] -= e.sum()
+            gradient[:size] += np.bincount(feature[some], error[row] * value[some], minlength=size)
+        gradient /= len(y)
         gradient[:size] += DECAY * x[:size]
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2

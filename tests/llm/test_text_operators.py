@@ -281,3 +281,25 @@ def test_quality_of_awkward_tables(spark):
     out = quality.grades(odd, model).collect()
     assert len(out) == 6 and len({r.p_best for r in out if r.doc_id == 1}) == 1
     assert quality.grades(table(spark, []), model).count() == 0
+
+
+def test_rare_toxic_words_of_small_languages_count(spark):
+    rng = random.Random(6)
+    rows, grades = [], []
+    for i in range(2000):
+        lang = rng.choice(["en"] * 6 + ["de", "es"])
+        stems = {"en": "bdfg", "de": "klmn", "es": "rstv"}[lang]
+        text = [rng.choice(stems) + rng.choice("aeiou") + rng.choice("xyz") for _ in range(60)]
+        toxic = rng.random() < 0.2
+        if toxic:
+            text[rng.randrange(60)] = {"en": "scum", "de": "dreck", "es": "basura"}[lang]
+        rows.append((i, " ".join(text)))
+        grades.append((i, lang, 1 if toxic else rng.choice([0, 2, 2, 2])))
+        if grades[-1][2] == 0:
+            rows[-1] = (i, rows[-1][1].upper() + "!!")
+    fit_on = spark.createDataFrame([(i, g) for i, _, g in grades[:1400]], "doc_id long, grade int")
+    kept = {r.doc_id for r in quality.keep_best(table(spark, rows), quality.fit_ordinal(table(spark, rows), fit_on), 0.5).collect()}
+    for lang in ("en", "de", "es"):
+        toxic = [i in kept for i, x, g in grades[1400:] if x == lang and g == 1]
+        good = [i in kept for i, x, g in grades[1400:] if x == lang and g == 2]
+        assert len(toxic) >= 5 and np.mean(toxic) < 0.2 and np.mean(good) > 0.8, lang
