@@ -80,7 +80,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_ordinal(
     docs: DataFrame, ratings: DataFrame, grade: str = "grade", doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE
 ) -> OrdinalModel:
-    """A model of the ratings (``doc_id, grade``); a document rated twice counts with its lower grade.
+    """A model of the ratings (``doc_id, grade``); a document rated twice counts with its lower grade, and
+    of rows that repeat an id the smallest text counts once.
 
     NULL ids and grades are left out. Without ratings, or with one grade only, the model has no features and
     its thresholds lie so low that every document has the best grade.
@@ -90,7 +91,9 @@ def fit_ordinal(
     count = rated.count()
     part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30)) < int(min(1.0, sample / max(count, 1)) * (1 << 30))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chosen = texts.join(rated.where(part), "doc_id").select("grade", "text")
+    # the chosen ratings are about ``sample`` rows at most, so they can be sent to the tasks
+    chosen = texts.join(F.broadcast(rated.where(part)), "doc_id").groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min("text").alias("text"))
+    chosen = chosen.select("grade", "text")
     table = land(chosen.mapInArrow(_featured, "grade int, features array<int>, values array<float>"), "features")
     totals = {r["grade"]: r["n"] for r in table.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     grades = max(totals, default=0)

@@ -303,3 +303,15 @@ def test_rare_toxic_words_of_small_languages_count(spark):
         toxic = [i in kept for i, x, g in grades[1400:] if x == lang and g == 1]
         good = [i in kept for i, x, g in grades[1400:] if x == lang and g == 2]
         assert len(toxic) >= 5 and np.mean(toxic) < 0.2 and np.mean(good) > 0.8, lang
+
+
+def test_repeated_ids_give_one_rated_row(spark, monkeypatch):
+    rows, grades = graded_corpus(200, 3)
+    seen = []
+    fit = quality._fit
+    monkeypatch.setattr(quality, "_fit", lambda found, kept, grades: seen.append(found.num_rows) or fit(found, kept, grades))
+    again = rows + [(7, rows[7][1]), (8, None)] + [(9, "zzz")] * 300
+    ratings = spark.createDataFrame(grades, "doc_id long, grade int")
+    once, many = (quality.fit_ordinal(table(spark, r), ratings) for r in (rows, again))
+    assert seen == [200, 200]
+    assert np.array_equal(once.ids, many.ids) and np.allclose(once.weights, many.weights, atol=1e-6)
