@@ -2,10 +2,10 @@
 
 Every distinct shingle set gets a MinHash signature. The forest is a number of orders of the sets, each by
 another arrangement of the signature; sets that agree on the first ``DEPTH`` values of an order share a
-region of it. A region is sorted by the values that follow, and a set meets the set before it, which has
-the longest common prefix (its depth adapts to how crowded the region is), or, where that is not near, the one before
-and the region's first set.
-However large a region, the work in it is linear. Meetings whose signatures agree enough make clusters, and
+region of it. A region is sorted by the ``DEEPER`` values that follow, and a set meets the ``NEIGHBOURS`` sets before it and
+after it, which have the longest common prefixes; a region of at most ``NEIGHBOURS + 1`` sets is met in full.
+However large a region, the work in it is linear. In a crowd of unlinked sets a pair may stand further apart in every order: the
+chance of that is measured (see the README and the tests), not bounded. Meetings whose signatures agree enough make clusters, and
 inside clusters links are confirmed on whole sets, so the forest only decides who is compared.
 
 Clusters of at most ``BLOCK`` sets are compared in full. Larger ones go through three passes: blocks first; then a few sets that
@@ -29,13 +29,14 @@ from .graph import components
 K = 128  # MinHash values of a signature
 ORDERS = 24  # sorted orders of the forest
 DEPTH = 4  # leading values that make a region: a pair at 0.8 shares none with probability 3e-6
-DEEPER = 8  # further values, a byte of each, by which a region is sorted
+DEEPER = 16  # further values, a byte of each, by which a region is sorted
+NEIGHBOURS = 32  # sets before it that a set meets in its region
 SIMILAR = 0.6  # estimated similarity that makes a meeting a candidate: 0.8 less 5 standard errors
 BLOCK = 256  # sets of a cluster compared at once
 COLUMNS = 1 << 14  # shingles of a block compared at once
 STAND_INS = 4  # sets that stand for a group of a block in the second pass
 
-SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, bits binary, regions array<long>, deep array<long>"
+SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, bits binary, regions array<long>, deep array<binary>"
 
 
 def _arrangements() -> np.ndarray:
@@ -71,20 +72,18 @@ def _signatures(k: int):
                         x ^= x >> np.uint32(13)
                         sig[filled, i] = np.minimum.reduceat(x, begins)
                 regions = np.empty((n, ORDERS), np.uint64)
-                deep = np.zeros((n, ORDERS), np.uint64)
+                deep = np.empty((n, ORDERS, DEEPER), np.uint8)
                 for o, places in enumerate(orders):
                     key = np.full(n, o + 1, np.uint64)
                     for p in places[:DEPTH]:
                         key = words.mix(key + sig[:, p])
                     regions[:, o] = key
-                    for p in places[DEPTH:]:
-                        deep[:, o] = (deep[:, o] << np.uint64(8)) | (sig[:, p] & np.uint32(0xFF))
+                    deep[:, o] = sig[:, places[DEPTH:]] & np.uint32(0xFF)
                 missing = pa.array(sizes == 0)
                 low = (sig & np.uint32(0xFF)).astype(np.uint8)
-                lists = [
-                    pa.ListArray.from_arrays(np.arange(0, n * ORDERS + 1, ORDERS, dtype=np.int32), x.reshape(-1).view(np.int64))
-                    for x in (regions, deep)
-                ]
+                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(DEEPER), n * ORDERS, [None, pa.py_buffer(deep.tobytes())])
+                ends = np.arange(0, n * ORDERS + 1, ORDERS, dtype=np.int32)
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (regions.reshape(-1).view(np.int64), flat.cast(pa.binary()))]
                 bits = pa.array([row.tobytes() for row in low], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, n), pa.array(sizes.astype(np.int64)), pa.array(prints[0].view(np.int64)),
@@ -103,8 +102,7 @@ def shingle_signatures(docs: DataFrame, k: int, doc_id: str = "doc_id", text: st
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by region and deeper values: pairs with the row before, or, if it is not near, with the one before that and
-    with the region's first row."""
+    """Rows sorted by region and deeper values: edges that join all rows that reach each other by near pairs of ``NEIGHBOURS``."""
     carry = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -116,27 +114,31 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begins = np.flatnonzero(np.r_[True, region[1:] != region[:-1]])
         first = np.repeat(begins, np.diff(np.r_[begins, len(region)]))
         here = np.arange(len(region))
-        left = np.concatenate([np.maximum(here - 1, first), np.maximum(here - 2, first), first])
-        right = np.tile(here, 3)
-        a, b = left[left != right], right[left != right]
-        near = np.empty(len(a), bool)
-        for at in range(0, len(a), 65536):
-            agree = (bits[a[at : at + 65536]] == bits[b[at : at + 65536]]).mean(axis=1)
-            # two different values agree in a byte by chance once in 256
-            near[at : at + 65536] = (agree - 1 / 256) / (1 - 1 / 256) >= SIMILAR
-        # the neighbour is enough if it is near: it meets the others itself, and edges stay linear in a region's size
-        settled = np.zeros(len(region), bool)
-        settled[b[near & (a == b - 1)]] = True
-        near &= (a == b - 1) | ~settled[b]
-        x, y = rep[a[near]], rep[b[near]]
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-        # the next batch may go on with the last region: it needs its first row and the last two
-        carry = table.take(pa.array(np.unique([first[-1], max(len(rep) - 2, first[-1]), len(rep) - 1])))
+        a, b = [], []
+        for back in range(1, NEIGHBOURS + 1):
+            right = here[here - back >= first]
+            for at in range(0, len(right), 65536):
+                y = right[at : at + 65536]
+                agree = (bits[y - back] == bits[y]).mean(axis=1)
+                # two different values agree in a byte by chance once in 256
+                y = y[(agree - 1 / 256) / (1 - 1 / 256) >= SIMILAR]
+                a.append(y - back)
+                b.append(y)
+        if a:
+            # only who reaches whom counts: each row and the one before it of its group, so edges stay linear and no row is a hub
+            root = _roots(len(region), np.concatenate(a), np.concatenate(b))
+            order = np.argsort(root, kind="stable")
+            same = root[order[1:]] == root[order[:-1]]
+            x, y = rep[order[:-1][same]], rep[order[1:][same]]
+            x, y = x[x != y], y[x != y]
+            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+        # the next batch may go on with the last region
+        carry = table.slice(max(len(rep) - NEIGHBOURS, int(first[-1])))
 
 
 def candidate_pairs(sets: DataFrame) -> DataFrame:
-    """Distinct pairs ``a < b`` of sets that meet in the forest and whose signatures agree enough."""
+    """Distinct pairs ``a < b`` that join all sets which meet in the forest with signatures that agree enough."""
     rows = sets.select("rep", F.posexplode("regions").alias("tree", "region"))
     shared = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
     meeting = (

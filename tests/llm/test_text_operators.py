@@ -115,6 +115,19 @@ def test_one_document_of_each_group_stays(spark):
     assert near_dedup.drop_near_duplicates(table(spark, [])).count() == 0
 
 
+def test_pairs_are_compared_in_a_crowd():
+    # one region of unlinked sets; two near ones stand twenty places apart, also across a batch border
+    rng = np.random.default_rng(8)
+    bits = rng.integers(0, 256, (60, near_dedup.K), dtype=np.uint8)
+    bits[40] = np.where(np.arange(near_dedup.K) < 105, bits[20], bits[40])
+    columns = [pa.array(np.zeros(60, np.int64)), pa.array(np.arange(60)), pa.array([x.tobytes() for x in bits], pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, names=["region", "rep", "bits"])
+    for cut in (60, 30, 1):
+        batches = iter([batch.slice(at, cut) for at in range(0, 60, cut)])
+        found = [tuple(r.values()) for b in near_dedup._meet(batches) for r in b.to_pylist()]
+        assert set(found) == {(20, 40)}, cut
+
+
 # ---- decontamination ----
 
 
