@@ -1,7 +1,8 @@
 """Benchmark passages in documents: CGK embedding, bit-sampling LSH, exact edit distance.
 
-Distance is edit distance over words (letters and digits, lower-cased; punctuation only separates), and an item
-is found where a window of a document is at most ``EDITS`` of the item's words away from it.
+Distance is edit distance over words (letters and digits, lower-cased; punctuation only separates; in scripts without spaces
+between words each character is a word), and an item is found where a window of a document is at most ``EDITS`` of the item's
+words away from it. An item of fewer than five words allows no edit: it is found where it stands word by word.
 
 1. An item with ``e`` allowed edits is cut into ``e + 1`` runs of words. At least one run survives in every
    window within ``e`` edits, so places where a run occurs are the only ones that can hold the item: nothing is lost.
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 from . import words
 
 EDITS = 0.2  # share of an item's words that may be edited
-MIN_WORDS = 5  # shorter items are left out: they say nothing about where a text came from
+MIN_WORDS = 1  # an item without any word cannot be searched
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+WIDE_MARKS = r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{303D}\x{30FB}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}]"
 BITS = 2  # places of the embedding that a repetition samples
 RECALL = 0.999  # wanted probability of finding an item at the full distance
 TRIALS = 8  # edited copies of each item by which the repetitions are measured
@@ -68,7 +71,7 @@ class Items:
         for q, found in anchors.items():
             found.sort()
             tables[q] = (np.array([f[0] for f in found], np.uint64), *(np.array([f[x] for f in found], np.int64) for x in (1, 2)))
-        return cls(np.array(ids, np.int64), texts, tables, _repetitions(texts))
+        return cls(np.array(ids, np.int64), texts, tables, _repetitions([t for t in texts if allowed(len(t))]))
 
 
 def allowed(n: int) -> int:
@@ -76,9 +79,18 @@ def allowed(n: int) -> int:
     return int(n * EDITS)
 
 
+def _spaced(texts: pa.Array) -> pa.Array:
+    """Large strings with spaces around each character of an unspaced script, and in place of its punctuation."""
+    data = texts.buffers()[2]
+    # all of them start with a byte from 0xE0
+    if data is None or not (np.frombuffer(data, np.uint8) >= 0xE0).any():
+        return texts
+    return pc.replace_substring_regex(pc.replace_substring_regex(texts, WIDE_MARKS, " "), UNSPACED, r" \1 ")
+
+
 def _words(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, row, hash) of the words of each piece of a column."""
-    for at, data, offsets in words.pieces(pc.utf8_lower(texts.cast(pa.large_string()))):
+    for at, data, offsets in words.pieces(_spaced(pc.utf8_lower(texts.cast(pa.large_string())))):
         rows, hashes, _, _ = words.word_hashes(data, offsets, words.NOT_ALNUM)
         yield at, rows, hashes
 
@@ -178,6 +190,10 @@ def find(items: Items, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
         places = np.unique(np.stack([np.concatenate(x) for x in (item, own, starts)], axis=1), axis=0)
         for i in np.unique(places[:, 0]):
             _, own, starts = places[places[:, 0] == i].T
+            if not allowed(len(items.texts[i])):  # its one run is the item
+                own = np.unique(own)
+                found.append(np.stack([own + at, np.full(len(own), i), np.zeros(len(own), np.int64)], axis=1))
+                continue
             found.append(_confirm(items, int(i), starts, own, rows, hashes, at))
     table = np.concatenate(found)
     if not len(table):
@@ -242,7 +258,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """``doc_id, item_id, edits, item_words``: each item found in each document, with the fewest edits.
 
     NULL and empty texts hold no item; a NULL doc_id is reported as NULL; repeated rows are reported once each.
-    Items of fewer than ``MIN_WORDS`` words are left out. An empty table on either side gives an empty result; other
+    Items of one to four words are found where they stand unedited; items without words are left out. An empty table on either side gives an empty result; other
     columns are not looked at, whatever their names.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

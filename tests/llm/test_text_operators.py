@@ -176,6 +176,21 @@ def test_contamination_equals_brute_force(spark):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, _ in docs if i not in dirty)
 
 
+def test_short_and_unspaced_items_are_found(spark):
+    chinese, thai = "春江潮水连海平海上明月共潮生滟滟随波千万里何处春江无月明", "สวัสดีครับผมชื่อสมชายยินดีที่ได้รู้จัก"
+    items = [(1, "Who wrote Hamlet?"), (2, chinese), (3, thai), (4, "Oslo"), (5, "これはペンです")]
+    docs = [
+        (1, "quiz: who wrote, hamlet and when"), (2, "who never wrote hamlet"), (3, "前文很长。" + chinese + "。后文"),
+        (4, "前文，" + chinese[:9] + "山" + chinese[10:20] + chinese[21:] + "后"), (5, chinese[:12]), (6, "ดูนี่" + thai), (7, "in OSLO."), (8, "oslofjord"),
+        (9, "彼は言った「これは、ペンです」と"), (10, None),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id, r.edits, r.item_words) for r in decontaminate.contamination(table(spark, docs), benchmark).collect())
+    assert found == [(1, 1, 0, 3), (3, 2, 0, 28), (4, 2, 2, 28), (6, 3, 0, len(thai)), (7, 4, 0, 1), (9, 5, 0, 7)]
+    clean = decontaminate.drop_contaminated(table(spark, docs), benchmark)
+    assert sorted(r.doc_id for r in clean.collect()) == [2, 5, 8, 10]
+
+
 def test_empty_sides(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = table(spark, [(1, "some text")])
