@@ -5,7 +5,7 @@ another arrangement of the signature; sets that agree on the first ``DEPTH`` val
 region of it. A region is sorted by the ``DEEPER`` values that follow, and a set meets the ``NEIGHBOURS`` sets before it and
 after it, which have the longest common prefixes; a region of at most ``NEIGHBOURS + 1`` sets is met in full.
 However large a region, the work in it is linear. In a crowd of unlinked sets a pair may stand further apart in every order: the
-chance of that is measured (see the README and the tests), not bounded. Meetings whose signatures agree enough make clusters, and
+chance of that was simulated (see the README), not bounded. Meetings whose signatures agree enough make clusters, and
 inside clusters links are confirmed on whole sets, so the forest only decides who is compared.
 
 Clusters of at most ``BLOCK`` sets are compared in full. Larger ones go through three passes: blocks first; then a few sets that
