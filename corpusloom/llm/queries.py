@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, hmm, mixing, near_dedup, neighbours, quality, secrets, sharding, token_files, url_filter
+from . import decontaminate, exact_dedup, hmm, mixing, near_dedup, neighbours, quality, secrets, sharding, token_files, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 TREE = sharding.HashTree.even(regions=2, racks=3, shards=4)
@@ -68,6 +68,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(files)
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_neighbours": op2_neighbours,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_files": op10_token_files,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 _TERMS_STRICT = ", ".join(f"'{t}'" for t in url_filter.STRICT)
@@ -156,4 +161,9 @@ ORACLE: dict[str, str] = {
         SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
                WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict, n_strict, n_soft
         FROM judged""",
+    "op13_exact_dedup": """
+        WITH bodies AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents)
+        SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+               row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
+        FROM bodies""",
 }
