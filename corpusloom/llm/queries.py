@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, exact_dedup, hmm, mixing, near_dedup, neighbours, quality, secrets, sharding, token_files, url_filter
+from . import decontaminate, exact_dedup, hmm, mixing, near_dedup, neighbours, quality, secrets, sharding, token_files, url_filter, vector_codes
 
 TOKENIZER = "byte_bpe_50k.json"
 TREE = sharding.HashTree.even(regions=2, racks=3, shards=4)
@@ -68,6 +68,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(files)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_files": op10_token_files,
+    "op12_vector_codes": op12_vector_codes,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -115,6 +120,20 @@ _KINDS = [
     (4, "pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 ]
 
+def _vector_round(r: int) -> str:
+    """Assignment of all parts to codebook ``r``, and codebook ``r + 1``."""
+    return f"""
+        near{r} AS MATERIALIZED (
+            SELECT row, p, min({{'d': list_sum(list_transform(list_zip(parts.x, books{r}.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) AS best
+            FROM parts JOIN books{r} USING (p) GROUP BY row, p),
+        sums{r} AS (
+            SELECT p, best.e AS e, i, sum(x[i]) AS s, count(*) AS c
+            FROM parts JOIN near{r} USING (row, p), LATERAL (SELECT unnest(generate_series(1, len(x))) AS i) GROUP BY 1, 2, 3),
+        means{r} AS (SELECT p, e, list((((s - ((s % c) + c) % c) // c))::BIGINT ORDER BY i) AS x FROM sums{r} GROUP BY p, e),
+        books{r + 1} AS MATERIALIZED (
+            SELECT p, e, coalesce(m.x, b.x) AS x FROM books{r} b LEFT JOIN means{r} m USING (p, e))"""
+
+
 ORACLE: dict[str, str] = {
     "op1_mixing": """
         WITH RECURSIVE volumes AS (
@@ -161,6 +180,21 @@ ORACLE: dict[str, str] = {
         SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
                WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict, n_strict, n_soft
         FROM judged""",
+    "op12_vector_codes": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+                   list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (
+            SELECT row, p, v[p * (len(v) // {vector_codes.PARTS}) + 1:(p + 1) * (len(v) // {vector_codes.PARTS})] AS x
+            FROM kept, range({vector_codes.PARTS}) t(p)),
+        books0 AS MATERIALIZED (SELECT p, row - 1 AS e, x FROM parts WHERE row <= {vector_codes.ENTRIES}),
+        {",".join(_vector_round(r) for r in range(vector_codes.ROUNDS + 1))},
+        coded AS (
+            SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{vector_codes.ROUNDS} GROUP BY row)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM books{vector_codes.ROUNDS}) AS codebooks_sha256
+        FROM coded JOIN kept USING (row)""",
     "op13_exact_dedup": """
         WITH bodies AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
