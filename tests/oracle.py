@@ -39,6 +39,9 @@ def difference(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> str | None:
         return f"columns {sorted(spark_rows.columns)} / {sorted(sql_rows.columns)}"
     if len(spark_rows) != len(sql_rows):
         return f"rows {len(spark_rows)} / {len(sql_rows)}"
+    # pandas holds longs with NULLs as floats, DuckDB as nullable integers
+    for column in sql_rows.columns[[str(t) == "Int64" for t in sql_rows.dtypes]]:
+        spark_rows = spark_rows.astype({column: "Int64"})
     left, right = normal(spark_rows), normal(sql_rows)
     types = [(c, str(left[c].dtype), str(right[c].dtype)) for c in left if left[c].dtype != right[c].dtype]
     if types:
