@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, exact_dedup, hmm, mixing, near_dedup, neighbours, quality, secrets, sharding, token_files, url_filter, vector_codes
+from . import decontaminate, exact_dedup, hmm, mixing, near_dedup, neighbours, prefix_trie, quality, secrets, sharding, token_files, url_filter, vector_codes
 
 TOKENIZER = "byte_bpe_50k.json"
 TREE = sharding.HashTree.even(regions=2, racks=3, shards=4)
@@ -68,6 +68,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(files)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_files": op10_token_files,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_vector_codes": op12_vector_codes,
     "op13_exact_dedup": op13_exact_dedup,
 }
@@ -180,6 +185,34 @@ ORACLE: dict[str, str] = {
         SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
                WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict, n_strict, n_soft
         FROM judged""",
+    "op11_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+                   {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS turn
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                       lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                           lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM own)),
+        built AS (
+            SELECT c.conv_id, pos, turn FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 5 AND pos <= h
+            UNION ALL
+            SELECT conv_id, pos + 9, turn FROM convs JOIN own USING (conv_id) WHERE pos > h),
+        paths AS (
+            SELECT conv_id, coalesce(path, []) AS path
+            FROM convs LEFT JOIN (SELECT conv_id, list(turn ORDER BY pos) AS path FROM built GROUP BY 1) USING (conv_id)),
+        nodes AS MATERIALIZED (
+            SELECT path[:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n, string_agg(conv_id, ',' ORDER BY conv_id) FILTER (len(path) = d) AS ends
+            FROM (SELECT *, unnest(generate_series(0, len(path))) AS d FROM paths) GROUP BY 1, 2),
+        kids AS (SELECT p[:d - 1] AS p, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY 1),
+        sums AS (
+            SELECT p[:j] AS p, sum(leaf) AS leaves, sum(saved) AS saved
+            FROM (SELECT p, unnest(generate_series(0, d)) AS j, (kids IS NULL)::BIGINT AS leaf, CASE WHEN d > 0 THEN (n - 1) * strlen(p[d].text) ELSE 0 END AS saved
+                  FROM nodes LEFT JOIN kids USING (p)) GROUP BY 1)
+        SELECT a.conv_id, a.d AS depth, b.conv_id AS parent_conv_id, a.n AS n_convs, coalesce(kids, 0) AS n_children, leaves::BIGINT AS n_leaves,
+               saved::BIGINT AS saved_tokens, sha256(coalesce(a.ends, '')) AS ends_sha256
+        FROM nodes a JOIN sums USING (p) LEFT JOIN kids USING (p) LEFT JOIN nodes b ON a.d > 0 AND b.p = a.p[:a.d - 1]""",
     "op12_vector_codes": f"""
         WITH kept AS MATERIALIZED (
             SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
