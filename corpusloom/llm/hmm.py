@@ -27,8 +27,9 @@ from . import words
 STATES = 8
 SYMBOLS = 1 << 14
 PASSES = 2  # Baum-Welch passes over all training texts
-SAMPLE_TEXTS, SAMPLE_PASSES = 512, 12  # of the start
-TRAIN_BYTES = 1 << 23  # text whose state probabilities a task holds at once
+SAMPLE_TEXTS, SAMPLE_BYTES, SAMPLE_PASSES = 512, 1 << 16, 12  # of the start; longer texts are not in the sample
+TRAIN_BYTES = 1 << 22  # text that a task reads at once
+HELD = 1 << 18  # tokens whose state probabilities a task holds at once
 BLOCK_BYTES = 1 << 24  # text of a block
 CELL = 256  # classes of one row of summed counts
 END = np.uint64(0x5D0C0F7E11A9B3C7)  # stands for the end of a text
@@ -71,44 +72,65 @@ def _by_time(symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, begins, alive, order
 
 
-def forward(chain: Chain, symbols: np.ndarray, counts: np.ndarray, keep: bool = False):
-    """Natural log likelihood of each text; with ``keep`` also the scaled forward values and scales by time."""
-    seen, begins, alive, order = _by_time(symbols, counts)
-    total = np.zeros(len(counts))
-    values = np.empty((len(seen), STATES)) if keep else None
-    scales = np.empty(len(seen)) if keep else None
-    now = np.repeat(chain.start[None, :], len(counts), axis=0)
-    for t, n in enumerate(alive):
-        b = begins[t]
-        now = (now[:n] if t == 0 else now[:n] @ chain.move) * chain.emit[seen[b : b + n]]
+def _run(chain: Chain, seen: np.ndarray, begins: np.ndarray, alive: np.ndarray, times: range, now: np.ndarray | None, keep: bool = False):
+    """The recursion over some times, from the values ``now`` before them: (last values, log scales by text, kept values, kept scales)."""
+    first = begins[times.start]
+    values = np.empty((begins[times.stop] - first, STATES)) if keep else None
+    scales = np.empty(begins[times.stop] - first) if keep else None
+    total = np.zeros(alive[times.start])
+    for t in times:
+        n, b = alive[t], begins[t]
+        now = (np.repeat(chain.start[None, :], n, axis=0) if t == 0 else now[:n] @ chain.move) * chain.emit[seen[b : b + n]]
         scale = now.sum(axis=1)
         now /= scale[:, None]
         total[:n] += np.log(scale)
         if keep:
-            values[b : b + n], scales[b : b + n] = now, scale
+            values[b - first : b - first + n], scales[b - first : b - first + n] = now, scale
+    return now, total, values, scales
+
+
+def forward(chain: Chain, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Natural log likelihood of each text."""
+    seen, begins, alive, order = _by_time(symbols, counts)
     likely = np.empty(len(counts))
-    likely[order] = total
-    return (likely, values, scales, seen, begins, alive) if keep else likely
+    likely[order] = _run(chain, seen, begins, alive, range(len(alive)), None)[1]
+    return likely
 
 
 def expected(chain: Chain, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected starts, transitions and emissions of some texts, and their log likelihood."""
-    likely, values, scales, seen, begins, alive = forward(chain, symbols, counts, keep=True)
-    moves = np.zeros((STATES, STATES))
+    """Expected starts, transitions and emissions of some texts, and their log likelihood.
+
+    Times are taken in stretches of about ``HELD`` tokens. The forward pass keeps the values before each stretch, and those
+    inside it are computed again when the backward pass reaches it, so a long text needs no table of all its values.
+    """
+    seen, begins, alive, _ = _by_time(symbols, counts)
+    cuts = np.unique(np.r_[0, np.searchsorted(begins[:-1], np.arange(HELD, begins[-1], HELD)), len(alive)]).tolist()
+    stretches = [range(s, e) for s, e in zip(cuts[:-1], cuts[1:], strict=True) if s < e]
+    before, likely = [None], 0.0
+    for times in stretches[:-1]:
+        now, total, _, _ = _run(chain, seen, begins, alive, times, before[-1])
+        before.append(now)
+        likely += total.sum()
+    moves, emits = np.zeros((STATES, STATES)), np.zeros((SYMBOLS, STATES))
     after = np.ones((int(alive[-1]), STATES))
-    state = np.empty((len(seen), STATES))
-    for t in range(len(alive) - 1, -1, -1):
-        n, b = alive[t], begins[t]
-        if len(after) < n:  # texts that end here
-            after = np.concatenate([after, np.ones((n - len(after), STATES))])
-        state[b : b + n] = values[b : b + n] * after
-        if t:
-            reach = chain.emit[seen[b : b + n]] * after / scales[b : b + n, None]
-            moves += values[begins[t - 1] : begins[t - 1] + n].T @ reach
-            after = reach @ chain.move.T
-    starts = state[: alive[0]].sum(axis=0)
-    emits = np.stack([np.bincount(seen, state[:, s], SYMBOLS) for s in range(STATES)], axis=1)
-    return starts, moves * chain.move, emits, float(likely.sum())
+    for times, entry in zip(reversed(stretches), reversed(before), strict=True):
+        _, total, state, scales = _run(chain, seen, begins, alive, times, entry, keep=True)
+        likely += total.sum() if times is stretches[-1] else 0.0
+        first = begins[times.start]
+        for t in reversed(times):
+            n, b = alive[t], begins[t]
+            if len(after) < n:  # texts that end here
+                after = np.concatenate([after, np.ones((n - len(after), STATES))])
+            state[b - first : b - first + n] *= after
+            if t:
+                reach = chain.emit[seen[b : b + n]] * after / scales[b - first : b - first + n, None]
+                earlier = entry[:n] if t == times.start else state[begins[t - 1] - first : begins[t - 1] - first + n]
+                moves += earlier.T @ reach
+                after = reach @ chain.move.T
+        here = seen[first : begins[times.stop]]
+        for s in range(STATES):
+            emits[:, s] += np.bincount(here, state[:, s], SYMBOLS)
+    return state[: alive[0]].sum(axis=0), moves * chain.move, emits, float(likely)
 
 
 def _updated(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, within: float = 0.01) -> Chain:
@@ -168,9 +190,11 @@ def fit_chain(texts: DataFrame, text: str = "text") -> Chain:
     chain = _first_chain()
     if not count:
         return chain
-    share = int(min(1.0, SAMPLE_TEXTS / count) * (1 << 30))
-    some = texts.where(F.pmod(F.xxhash64(text, F.lit(7)), F.lit(1 << 30)) <= share).select(F.col(text).alias("text"))
-    start = [s for s in _sequences(some.limit(4 * SAMPLE_TEXTS).toArrow()["text"].combine_chunks(), 1 << 30)]
+    share = int(min(1.0, 2 * SAMPLE_TEXTS / count) * (1 << 30))
+    mark = F.xxhash64(text, F.lit(7))
+    some = texts.where((F.pmod(mark, F.lit(1 << 30)) <= share) & (F.octet_length(text) <= SAMPLE_BYTES))
+    some = some.select(F.col(text).alias("text")).orderBy(mark, text).limit(SAMPLE_TEXTS)
+    start = [s for s in _sequences(some.toArrow()["text"].combine_chunks(), 1 << 30)]
     for _ in range(SAMPLE_PASSES if start else 0):
         chain = _updated(*expected(chain, symbol(start[0][1]), start[0][2])[:3])
     for _ in range(PASSES):
@@ -243,8 +267,8 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     chain = fit_chain(training)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    # a repeated id may be hot: the text's own hash spreads its rows
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
+    # a repeated row may be hot: its place in the scan spreads it
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks))).repartition("block")
     # all columns go through, so that both readers of the dealt texts share one exchange; a block may ask twice
     asked = dealt.sortWithinPartitions("block").mapInArrow(_ask, "block long, token long")
     given = asked.join(counts, "token").select("block", "token", "c")
