@@ -6,8 +6,8 @@ cut the score's line: ``P(grade >= g) = sigmoid(score - threshold_g)``. The weig
 
 The model is fitted on a documented, bounded sample of rated documents, chosen by a hash of the id: Spark makes the sample's
 features and screens them (a feature takes part if its frequency differs between grades by some standard errors: ``SCREEN`` for words,
-of which a smaller language's are rare but pure, ``SCREEN_GRAMS`` for byte runs), and the few screened ones, bounded by the sample, are
-fitted at once. Scoring reads every document once and shuffles nothing.
+of which a smaller language's are rare but pure, ``SCREEN_GRAMS`` for byte runs; the ``STRONGEST`` take part in any case, so that few
+ratings teach something too), and the few screened ones, bounded by the sample, are fitted at once. Scoring reads every document once and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -28,12 +28,13 @@ GRAMS = 1 << 15
 SAMPLE = 16_384  # rated documents expected in the fit; all, if there are fewer
 SCREEN = 4.0  # standard errors by which a word's frequency must differ between grades: by chance about 6 words in 100,000 do
 SCREEN_GRAMS = 10.0  # the same for byte runs, which occur in most texts
+STRONGEST = 2_000  # features that take part whatever their standard errors are
 STRENGTH = 5.0  # total strength of a text's byte runs; each word that occurs counts 1
 FIT_VALUES = 1 << 18  # feature values of a gradient step held at once
 STEPS = 300
 RATE = 0.1
-DECAY = 1e-4
-KEEP_AT = 0.3  # a document stays if its probability of the best grade is at least this
+DECAY = 1e-5
+KEEP_AT = 0.4  # a document stays if its probability of the best grade is at least this
 
 
 @dataclass(frozen=True)
@@ -129,12 +130,13 @@ def _screened(table: DataFrame, totals: dict[int, int]) -> np.ndarray:
     for g in range(1, max(totals) + 1):
         p = sum(c for x, c in totals.items() if x >= g) / n
         spread = F.sqrt(F.col("n") * p * (1 - p) * (1 - F.col("n") / n) + 1)
-        least = F.when(F.col("feature") < WIDTH - GRAMS, SCREEN).otherwise(SCREEN_GRAMS)
-        tests.append(F.abs(F.col(f"n{g}") - F.col("n") * p) / spread >= least)
-    either = tests[0]
-    for test in tests[1:]:
-        either |= test
-    return np.sort(counted.where(either).select("feature").toArrow()["feature"].to_numpy()).astype(np.int64)
+        tests.append(F.abs(F.col(f"n{g}") - F.col("n") * p) / spread)
+    errors = F.greatest(*tests, F.lit(0.0)).alias("errors")
+    tested = land(counted.select("feature", errors), "screen")
+    least = F.when(F.col("feature") < WIDTH - GRAMS, SCREEN).otherwise(SCREEN_GRAMS)
+    strongest = tested.orderBy(F.col("errors").desc(), "feature").limit(STRONGEST)
+    either = tested.where(F.col("errors") >= least).unionByName(strongest).select("feature")
+    return np.unique(either.toArrow()["feature"].to_numpy()).astype(np.int64)
 
 
 def _fit(found: pa.Table, kept: np.ndarray, grades: int) -> OrdinalModel:
@@ -212,6 +214,10 @@ def keep_best(docs: DataFrame, model: OrdinalModel, at_least: float = KEEP_AT, t
 
 
 def graded_labels(labels: DataFrame) -> DataFrame:
-    """``doc_id, grade`` of the labels table: 0 for poor quality, 1 for good but toxic, 2 for good."""
-    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    """``doc_id, grade`` of the labels table: 0 for toxic, 1 for poor quality, 2 for good.
+
+    Toxic words add up without end, so the grade they lead to has to be the last: in a middle grade a document with
+    many of them would be pushed past it, and their weights stay too small to be seen.
+    """
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     return labels.select("doc_id", grade.alias("grade"))

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, near_dedup, quality, secrets, url_filter, words
 
@@ -343,3 +344,18 @@ def test_repeated_ids_give_one_rated_row(spark, monkeypatch):
     once, many = (quality.fit_ordinal(table(spark, r), ratings) for r in (rows, again))
     assert seen == [200, 200]
     assert np.array_equal(once.ids, many.ids) and np.allclose(once.weights, many.weights, atol=1e-6)
+
+
+def test_quality_rejects_toxic_documents_of_every_language(spark):
+    """Fitted on one half of the rated documents, held against the other half, from the smallest corpus up."""
+    for folder, kept_good, kept_toxic in (("/root/testdata/sf0.001", 0.9, 0.5), ("/root/testdata/sf0.1", 0.97, 0.2)):
+        docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+        half = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)) == 0
+        model = quality.fit_ordinal(docs, quality.graded_labels(labels.where(half)))
+        held = docs.join(quality.graded_labels(labels.where(~half)), "doc_id")
+        best = quality.grades(held, model).select("doc_id", (F.col("p_best") >= quality.KEEP_AT).alias("kept"))
+        rows = held.select("doc_id", "lang", "grade").join(best, "doc_id").groupBy("grade", "lang").agg(F.count("*").alias("n"), F.avg(F.col("kept").cast("int")).alias("share")).collect()
+        good = [r for r in rows if r.grade == 2]
+        assert sum(r.n * r.share for r in good) / sum(r.n for r in good) >= kept_good
+        toxic = [r for r in rows if r.grade == 0 and r.n >= 25]
+        assert all(r.share <= kept_toxic for r in toxic), toxic
