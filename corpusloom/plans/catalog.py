@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text as tx
 from ..functions.dialog import extract_reply
 from ..functions.tokens import pretokenize, token_count
-from ..operators import batches, dialogs, filters, ngram, scoring, splits, vocab
+from ..operators import batches, dialogs, filters, ngram, scoring, splits, subwords, vocab
 from ..session import land, once, scratch_dir
 from ..sources import readers, writers
 from ..streaming.chat import chat_history_stream
@@ -444,6 +444,26 @@ def chat_corpus(spark, folder):
     return _block_columns(dialog_examples(rows, ids, vocab.build_vocab(tokenized(said, reserved=marks))), "dialog_id")
 
 
+def _piece_table(words: vocab.Vocab, size: int = 1_500):
+    """A supplied table of pieces: the most frequent words, their beginnings of 1 to 3 and, inside a word, their endings of 1 to 4 letters."""
+    frequent = words.table.where(F.col("id").between(len(fixed.BASE_TOKENS), len(fixed.BASE_TOKENS) + size - 1))
+    heads = [F.substring("token", 1, n) for n in (1, 2, 3)]
+    tails = [F.concat(F.lit(subwords.INSIDE), F.right(F.col("token"), F.lit(n))) for n in (1, 2, 3, 4)]
+    # a few thousand rows at most, whatever the corpus
+    pieces = frequent.select(F.explode(F.array("token", *heads, *tails)).alias("token")).distinct()
+    place = F.row_number().over(Window.orderBy("token")) + (len(fixed.BASE_TOKENS) - 1)
+    marks = words.table.where(F.col("id") < len(fixed.BASE_TOKENS))
+    return marks.unionByName(pieces.select(place.alias("id"), "token"))
+
+
+@query
+def k4_subwords(spark, folder):
+    """Documents as sub-word ids, the longest piece first."""
+    rows, words = _document_vocab(spark, folder)
+    pieces = subwords.Pieces.from_table(_piece_table(words))
+    return subwords.encode_subwords(rows, pieces).select("doc_id", _joined("ids").alias("out"))
+
+
 @query
 def k4_ids_joined(spark, folder):
     rows, words = _document_vocab(spark, folder)

@@ -309,6 +309,24 @@ ORACLE: dict[str, str] = {
         WITH {DOCS}
         SELECT doc_id, coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos), '') AS out
         FROM documents LEFT JOIN ids USING (doc_id) GROUP BY doc_id""",
+    "k4_subwords": f"""
+        WITH RECURSIVE {DOCS},
+        frequent AS (SELECT token FROM vocab WHERE id < 1504),
+        pieces AS MATERIALIZED (
+          SELECT piece, starts_with(piece, '##') AND piece <> '##' AS inside, row_number() OVER (ORDER BY piece) + 3 AS id
+          FROM (SELECT DISTINCT unnest([token, token[:1], token[:2], token[:3],
+                  '##' || right(token, 1), '##' || right(token, 2), '##' || right(token, 3), '##' || right(token, 4)]) AS piece FROM frequent)),
+        walk AS (
+          SELECT DISTINCT token, 0::BIGINT AS at_char, []::BIGINT[] AS ids FROM cells WHERE len(token) <= 100
+          UNION ALL
+          SELECT token, at_char + l, list_append(ids, id) FROM (
+            SELECT token, at_char, ids, l, id, row_number() OVER (PARTITION BY token ORDER BY l DESC) AS r
+            FROM (SELECT *, unnest(generate_series(1, len(token) - at_char)) AS l FROM walk WHERE at_char < len(token)) w
+            JOIN pieces p ON p.inside = (at_char > 0) AND p.piece = CASE WHEN at_char > 0 THEN '##' ELSE '' END || substr(token, at_char + 1, l))
+          WHERE r = 1),
+        cut AS (SELECT token, ids FROM walk WHERE at_char = len(token))
+        SELECT doc_id, coalesce(string_agg(array_to_string(coalesce(cut.ids, [1]), ' '), ' ' ORDER BY pos) FILTER (WHERE pos IS NOT NULL), '') AS out
+        FROM documents LEFT JOIN cells USING (doc_id) LEFT JOIN cut USING (token) GROUP BY doc_id""",
     "k5_block": f"""
         WITH {DOCS},
         body AS (
