@@ -89,11 +89,11 @@ def _write_arrays(rows: DataFrame, order: str, path: str) -> None:
     lines.write.option("maxRecordsPerFile", 1).text(path)
 
 
-def _records(spark, folder):
+def _records(spark, folder, splittable=False):
     path = scratch_dir(spark, "records-json")
     rows = load(spark, folder, "documents").select("doc_id", F.col("text").alias("output"), "lang")
     _write_arrays(rows, "doc_id", path)
-    return readers.read_json_records(spark, path)
+    return readers.read_json_records(spark, path, splittable=splittable)
 
 
 @query
@@ -101,7 +101,12 @@ def s3_json_records(spark, folder):
     return _records(spark, folder).select("ordinal", "output")
 
 
-def _dialogs(spark, folder):
+@query
+def s3_json_records_parallel(spark, folder):
+    return _records(spark, folder, splittable=True).select("ordinal", "output")
+
+
+def _dialogs(spark, folder, splittable=False):
     path = scratch_dir(spark, "dialogs-json")
     rows = dialogs.turns_to_dialogs(load(spark, folder, "conversations")).select(
         "conv_id",
@@ -110,7 +115,7 @@ def _dialogs(spark, folder):
         "content",
     )
     _write_arrays(rows, "conv_id", path)
-    return readers.read_dialogs_json(spark, path)
+    return readers.read_dialogs_json(spark, path, splittable=splittable)
 
 
 @query
@@ -119,6 +124,12 @@ def s4_dialogs_json(spark, folder):
     return found.select("dialog_id", "document_id", F.posexplode("content").alias("turn", "text"))
 
 
+@query
+def s4_dialogs_json_parallel(spark, folder):
+    found = _dialogs(spark, folder, splittable=True)
+    return found.select("dialog_id", "document_id", F.posexplode("content").alias("turn", "text"))
+
+
 @query
 def s5_id_list(spark, folder):
     path = scratch_dir(spark, "id-list")

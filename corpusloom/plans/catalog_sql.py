@@ -488,3 +488,5 @@ ORACLE: dict[str, str] = {
 # the same answers by the other way of meeting a table
 for _name in ("k4_ids", "k6_decode", "e5_match_vectors"):
     ORACLE[f"{_name}_joined"] = ORACLE[_name]
+for _name in ("s3_json_records", "s4_dialogs_json"):
+    ORACLE[f"{_name}_parallel"] = ORACLE[_name]

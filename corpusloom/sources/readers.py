@@ -1,7 +1,7 @@
 """Readers for lyrics tables, record and dialogue files, id lists, song trees and prompts.
 
-Quoted multi-line CSV, JSON arrays and whole-text files cannot be split, so one file is one task. Read
-them once, many files at a time, and land the result with ``write_table``.
+Spark reads a quoted multi-line CSV file or a JSON array with one task; ``splittable=True`` cuts them in parallel
+(see ``cutting``). Read such inputs once and land the result with ``write_table``.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalize_newlines
+from .cutting import CSV, JSON, cut_records
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -40,62 +41,20 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 
 def _split_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """``ordinal`` and fields of quoted multi-line CSV files with headers, read in parallel.
-
-    A line starts a record when an even number of quotes precedes it in its file. Parity and record
-    numbers are running sums inside an input split; what precedes a split comes from one row per
-    split, which counts record starts for both parities the split may begin with.
-    """
-    order = Window.partitionBy("_file", "_at").orderBy("_row")
-    passed = order.rowsBetween(Window.unboundedPreceding, -1)
-    lines = (
-        spark.read.text(path, lineSep="\n")
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_at"),
-            F.monotonically_increasing_id().alias("_row"),
-        )
-        .withColumn("_quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
-        .withColumn("_parity", F.coalesce(F.sum("_quotes").over(passed), F.lit(0)) % 2)
-    )
-    # a line without characters outside of quotes is no record
-    blank = F.col("value").isin("", "\r")
-    in_file = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    in_all = Window.orderBy("_file", "_at").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
-        lines.groupBy("_file", "_at")
-        .agg(
-            F.sum("_quotes").alias("_quotes"),
-            F.count_if((F.col("_parity") == 0) & ~blank).alias("_even"),
-            F.count_if((F.col("_parity") == 1) & ~blank).alias("_odd"),
-        )
-        .withColumn("_enters", F.coalesce(F.sum("_quotes").over(in_file), F.lit(0)) % 2)
-        .withColumn("_starts", F.when(F.col("_enters") == 0, F.col("_even")).otherwise(F.col("_odd")))
-        .select(
-            "_file",
-            "_at",
-            "_enters",
-            F.coalesce(F.sum("_starts").over(in_file), F.lit(0)).alias("_in_file"),
-            F.coalesce(F.sum("_starts").over(in_all), F.lit(0)).alias("_in_all"),
-            F.dense_rank().over(Window.orderBy("_file")).alias("_headers"),
-        )
-    )
-    starts = ((F.col("_parity") == F.col("_enters")) & ~blank).cast("long")
-    inside = F.sum(starts).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    records = (
-        lines.join(splits, ["_file", "_at"])
-        .withColumn("_inside", inside)
-        .where((F.col("_in_file") + F.col("_inside") > 1) & ~(blank & (F.col("_parity") == F.col("_enters"))))
-        .groupBy((F.col("_in_all") + F.col("_inside") - 1 - F.col("_headers")).alias("ordinal"))
-        .agg(F.sort_array(F.collect_list(F.struct("_at", "_row", "value"))).alias("_lines"))
-    )
-    text = F.regexp_replace(F.array_join("_lines.value", "\n"), r"\r$", "")
+    """``ordinal`` and fields of quoted multi-line CSV files with headers, read in parallel."""
+    text = F.regexp_replace("text", r"\r?\n$", "")
     fields = F.from_csv("_text", F.lit(schema), {"quote": '"', "escape": '"', "multiLine": "true"})
-    filled = records.select("ordinal", text.alias("_text")).where(F.col("_text") != "")
+    filled = cut_records(spark, path, CSV).select("ordinal", text.alias("_text")).where(F.col("_text") != "")
     return filled.select("ordinal", fields.alias("_fields")).select("ordinal", "_fields.*")
 
 
+def _split_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``ordinal`` and fields of the objects of JSON arrays, read in parallel."""
+    bare = F.regexp_replace("text", r"^[\s,\[\x{FEFF}]+", "")
+    fields = F.from_json(bare, F.lit(schema)).alias("_fields")
+    return cut_records(spark, path, JSON).select("ordinal", fields).select("ordinal", "_fields.*")
+
+
 def read_lyrics_csv(
     spark: SparkSession,
     path: str,
@@ -130,18 +89,25 @@ def preview(df: DataFrame, n: int = 5, order: str = "ordinal") -> DataFrame:
     return df.orderBy(order).limit(n)
 
 
-def read_json_records(spark: SparkSession, path: str, field: str = "output", lines: bool = False) -> DataFrame:
+def read_json_records(
+    spark: SparkSession, path: str, field: str = "output", lines: bool = False, splittable: bool = False
+) -> DataFrame:
     """``ordinal`` and one field of every object; a missing field is NULL.
 
-    Files hold JSON arrays; ``lines=True`` reads one object per line, which splits.
+    Files hold JSON arrays of objects; ``lines=True`` reads one object per line, which splits. An array's file is read by
+    one task, unless ``splittable`` says that the files are well formed; then a file of any size is read in parallel.
     """
+    if splittable and not lines:
+        return _split_json(spark, path, f"`{field}` string")
     schema = T.StructType([T.StructField(field, T.StringType())])
     return _numbered(spark.read.schema(schema).json(path, multiLine=not lines, encoding="UTF-8"))
 
 
-def read_dialogs_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """``dialog_id, document_id, content`` with the utterances as an array."""
+def read_dialogs_json(spark: SparkSession, path: str, lines: bool = False, splittable: bool = False) -> DataFrame:
+    """``dialog_id, document_id, content`` with the utterances as an array; files as in :func:`read_json_records`."""
     schema = "dialog_id string, document_id string, content array<string>"
+    if splittable and not lines:
+        return _split_json(spark, path, schema).drop("ordinal")
     return spark.read.schema(schema).json(path, multiLine=not lines, encoding="UTF-8")
 
 
