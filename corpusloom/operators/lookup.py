@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +27,16 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, on: str, spread_by: str) -
     dealt = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), last).cast("int")).drop("_salts")
     copies = lookup.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last - 1))).drop("_salts")
     return dealt.join(copies, [on, "_salt"], "left").drop("_salt")
+
+
+def places(table: dict, words: pa.Array, missing: int) -> np.ndarray:
+    """The place of each word in ``table["words"]``, ``missing`` for a word outside and for NULL.
+
+    ``table`` is a broadcast value: a worker keeps it from task to task, so the dictionary put into it is built once a
+    worker, not once a batch. Only distinct words of the batch are looked up.
+    """
+    if "places" not in table:
+        table["places"] = {word: i for i, word in enumerate(table["words"].to_pylist())}
+    known, coded = table["places"], words.dictionary_encode()
+    found = np.array([*(known.get(w, missing) for w in coded.dictionary.to_pylist()), missing], np.int32)
+    return found[pc.fill_null(coded.indices.cast(pa.int32()), len(found) - 1).to_numpy(zero_copy_only=False)]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import land
-from .lookup import salted_lookup
+from .lookup import places, salted_lookup
 
 # Largest vector table sent to every task, in numbers (160 MB of floats), and in rows.
 BROADCAST_FLOATS = 40_000_000
@@ -147,18 +147,18 @@ def _small_table(vectors: DataFrame, floats: int) -> tuple[pa.Array, np.ndarray]
 def _score_in_place(
     pairs: DataFrame, table: tuple[pa.Array, np.ndarray], candidate: str, reference: str
 ) -> DataFrame:
-    shared = pairs.sparkSession.sparkContext.broadcast(table)
+    shared = pairs.sparkSession.sparkContext.broadcast({"words": table[0], "matrix": table[1]})
 
     @F.arrow_udf("precision double, recall double")
     def best_match(cand: pa.Array, ref: pa.Array) -> pa.Array:
-        tokens, matrix = shared.value
+        matrix = shared.value["matrix"]
         sides = []
         flats = cand.flatten(), ref.flatten()
         codes = _codes(*flats)
         for lists, flat, code in zip((cand, ref), flats, codes):
-            row = pc.fill_null(pc.index_in(flat, value_set=tokens.cast(flat.type)), len(tokens))
+            row = places(shared.value, flat, len(matrix) - 1)
             ends = np.cumsum(_cells(lists)[0])[:-1]
-            sides.append((np.split(code, ends), np.split(row.to_numpy(zero_copy_only=False), ends)))
+            sides.append((np.split(code, ends), np.split(row, ends)))
         scores = [
             _mean_best(*_distinct(*left, matrix), *_distinct(*right, matrix))
             for left, right in zip(zip(*sides[0]), zip(*sides[1]))

@@ -151,15 +151,17 @@ def encode_subwords(df: DataFrame, pieces: Pieces, tokens: str = "tokens", out:
     A token that pieces do not make up, one of more than ``longest`` characters, an empty and a NULL token are one unknown id.
     A NULL array stays NULL. Nothing is shuffled.
     """
-    shared = df.sparkSession.sparkContext.broadcast(pieces)
+    # plain arrays: a worker needs no copy of this package to read them
+    trie = pieces.trie
+    shared = df.sparkSession.sparkContext.broadcast((trie.keys, trie.child, trie.link, trie.first, trie.settled))
+    unknown = pieces.unknown
 
     @F.arrow_udf("array<int>")
     def cut(lists: pa.Array) -> pa.Array:
-        at = shared.value
         flat = lists.flatten().dictionary_encode()
-        counts, ids = at.trie.cut(flat.dictionary.to_pylist(), at.unknown, longest)
+        counts, ids = PieceTrie(*shared.value).cut(flat.dictionary.to_pylist(), unknown, longest)
         # the last entry stands for a NULL token
-        counts, ids = np.r_[counts, 1], np.r_[ids, np.int32(at.unknown)].astype(np.int32)
+        counts, ids = np.r_[counts, 1], np.r_[ids, np.int32(unknown)].astype(np.int32)
         begins = np.r_[0, np.cumsum(counts)[:-1]]
         word = pc.fill_null(flat.indices.cast(pa.int64()), len(counts) - 1).to_numpy(zero_copy_only=False)
         every = ids[_ranges(begins[word], counts[word])]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.tokens import attention_mask, pad_block, wrap_block
 from ..session import land
-from .lookup import salted_lookup
+from .lookup import places, salted_lookup
 
 # Largest vocabulary sent to every task: half a million words are some tens of megabytes.
 BROADCAST_WORDS = 500_000
@@ -143,14 +143,12 @@ def encode_ids(df: DataFrame, vocab: Vocab, tokens: str = "tokens", out: str = "
     if vocab.words is None:
         table = vocab.table.select(F.col("token").alias("_word"), F.col("id").alias("_value"))
         return _replace_by_join(df, tokens, table, F.lit(vocab.unknown), out)
-    shared = df.sparkSession.sparkContext.broadcast(vocab.words)
+    shared = df.sparkSession.sparkContext.broadcast({"words": vocab.words})
     unknown = vocab.unknown
 
     @F.arrow_udf("array<int>")
     def lookup(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten()
-        ids = pc.index_in(flat, value_set=shared.value.cast(flat.type))
-        return _rebuild(lists, pc.fill_null(ids, unknown).cast(pa.int32()))
+        return _rebuild(lists, pa.array(places(shared.value, lists.flatten(), unknown)))
 
     return df.withColumn(out, lookup(F.col(tokens)))
 
