@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text as tx
 from ..functions.dialog import extract_reply
 from ..functions.tokens import pretokenize, token_count
-from ..operators import batches, dialogs, filters, ngram, scoring, splits, subwords, vocab
+from ..operators import batches, dialogs, filters, ngram, packing, scoring, splits, subwords, vocab
 from ..session import land, once, scratch_dir
 from ..sources import readers, writers
 from ..streaming.chat import chat_history_stream
@@ -321,6 +321,12 @@ def c3_prompts_by_role(spark, folder):
     return dialogs.chat_prompts(load(spark, folder, "conversations"), role="role")
 
 
+@query
+def c3_prompts_in_context(spark, folder):
+    """Prompts cut to a context of 200 tokens, which about half of the conversations outgrow."""
+    return dialogs.prompts_in_context(load(spark, folder, "conversations"), context=200)
+
+
 @query
 def c4_reply(spark, folder):
     """Each turn with its successor as a decoded exchange; the reply is the part after one end mark."""
@@ -403,6 +409,15 @@ def k5_block(spark, folder):
     )
 
 
+@query
+def k5_packed(spark, folder):
+    """Documents packed into full blocks and read back: every id once, in its place."""
+    rows, words = _document_vocab(spark, folder)
+    blocks = packing.pack_blocks(vocab.encode_ids(rows, words).select("doc_id", "ids"), pad=words.pad)
+    parts = packing.unpack_blocks(blocks).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts"))
+    return parts.select("doc_id", F.size("parts").alias("n_parts"), _joined(F.flatten("parts.ids")).alias("out"))
+
+
 @query
 def k5_chat_block(spark, folder):
     """Every listed conversation as a speaker-tagged block, without a second pair of marks."""

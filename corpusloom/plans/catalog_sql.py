@@ -273,6 +273,15 @@ ORACLE: dict[str, str] = {
         WITH {TAGGED}
         SELECT conv_id, turn, out
         FROM (SELECT conv_id, turn, role, {_history('by_role')} AS out FROM pieces) WHERE role = 'user'""",
+    "c3_prompts_in_context": f"""
+        WITH {TAGGED},
+        sized AS (
+          SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY pos) AS upto
+          FROM (SELECT p.*, len({_tokens('c.text')}) + 2 AS n FROM pieces p JOIN conversations c USING (conv_id, turn)))
+        SELECT a.conv_id, a.turn, '[CLS]' || string_agg(b.by_pos, '' ORDER BY b.pos) || '[speaker2]' AS out,
+               CAST(sum(b.n) + 2 AS INTEGER) AS n_tokens, min(b.pos) AS n_left_out
+        FROM sized a JOIN sized b ON b.conv_id = a.conv_id AND b.pos <= a.pos AND (b.pos = a.pos OR a.upto - b.upto + b.n <= 98)
+        WHERE a.pos % 2 = 0 GROUP BY a.conv_id, a.turn""",
     "c4_reply": """
         SELECT conv_id, turn, coalesce(replace(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), ' ', ''), '') AS out
         FROM conversations""",
@@ -327,6 +336,10 @@ ORACLE: dict[str, str] = {
         cut AS (SELECT token, ids FROM walk WHERE at_char = len(token))
         SELECT doc_id, coalesce(string_agg(array_to_string(coalesce(cut.ids, [1]), ' '), ' ' ORDER BY pos) FILTER (WHERE pos IS NOT NULL), '') AS out
         FROM documents LEFT JOIN cells USING (doc_id) LEFT JOIN cut USING (token) GROUP BY doc_id""",
+    "k5_packed": f"""
+        WITH {DOCS}
+        SELECT doc_id, CAST((count(*) + 1023) // 1024 AS INTEGER) AS n_parts, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS out
+        FROM ids GROUP BY doc_id""",
     "k5_block": f"""
         WITH {DOCS},
         body AS (
