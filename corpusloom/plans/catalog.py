@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text as tx
 from ..functions.dialog import extract_reply
 from ..functions.tokens import pretokenize, token_count
-from ..operators import batches, dialogs, filters, ngram, packing, scoring, splits, subwords, vocab
+from ..operators import batches, bootstrap, dialogs, filters, kneser_ney, ngram, packing, scoring, splits, subwords, vocab
 from ..session import land, once, scratch_dir
 from ..sources import readers, writers
 from ..streaming.chat import chat_history_stream
@@ -583,10 +583,33 @@ def e2_loss(spark, folder):
     return losses.withColumn("loss", F.round("loss", 6))
 
 
-def _perplexities(spark, folder):
+def _smoothed(spark, folder):
+    """Test documents, and the trigram model of the training side."""
+    rows, words = _encoded_lyrics(spark, folder)
+    rows = land(rows, "ids")
+    return rows.where("is_test"), kneser_ney.fit_kneser_ney(rows.where("NOT is_test"), words.size, order=3)
+
+
+@query
+def e1_kneser_ney(spark, folder):
+    grams = _smoothed(spark, folder)[1].grams[3]
+    return grams.select(_joined("gram").alias("gram"), F.round("p", 9).alias("p"))
+
+
+@query
+def e2_loss_kneser_ney(spark, folder):
+    rows, model = _smoothed(spark, folder)
+    return kneser_ney.kneser_ney_loss(rows, model).withColumn("loss", F.round("loss", 6))
+
+
+def _losses(spark, folder):
     rows, size, models = _models(spark, folder)
     both = [counts.select(F.lit(model).alias("model"), "a", "b", "n") for model, counts in models.items()]
-    return ngram.corpus_ppl(ngram.document_loss(rows, both[0].unionByName(both[1]), size, model="model"), "model")
+    return ngram.document_loss(rows, both[0].unionByName(both[1]), size, model="model")
+
+
+def _perplexities(spark, folder):
+    return ngram.corpus_ppl(_losses(spark, folder), "model")
 
 
 @query
@@ -677,6 +700,17 @@ def e7_compare(spark, folder):
     return table.select("metric", *[F.round(m, 6).alias(m) for m in evaluation.MODELS])
 
 
+@query
+def e7_intervals(spark, folder):
+    """Both models and their difference, with 95 % intervals over 200 replicates of the pairs."""
+    scores = evaluation.score_models(_candidates(spark, folder), "doc_id")
+    one = F.lit(1.0).alias("weight")
+    rows = scores.unpivot(["doc_id", "model"], ["precision", "recall", "f1"], "metric", "value").select("*", one)
+    loss = _losses(spark, folder).select("doc_id", "model", F.lit("ppl").alias("metric"), F.col("loss").alias("value"), F.col("n").cast("double").alias("weight"))
+    means = bootstrap.bootstrap_means(rows.unionByName(loss), replicates=200, seed=SEED)
+    return bootstrap.intervals(means).select("metric", "model", *[F.round(c, 6).alias(c) for c in ("value", "low", "high")])
+
+
 @query
 def split_summary(spark, folder):
     return split_report(lyrics(spark, folder), "doc_id", "title", "body")

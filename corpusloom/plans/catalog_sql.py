@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 
 # --- fixed values: what a token is, in this engine's notation ---
 TOKEN_PATTERN = (
@@ -191,6 +193,37 @@ def _corpus(records: str, key: str, kept: int, length: int, vocab_from: str = "S
 
 FLAT = f"replace(replace(replace(text, {NL} || {NL}, '。'), {NL}, '。'), ' ', '，')"
 
+def _smoothed(k: int, n: int = 3) -> str:
+    """Probabilities of the grams of ``k`` ids, and what their contexts leave."""
+    ids = ", ".join(f"w{i}" for i in range(n - k + 1, n + 1))
+    before = ids.rpartition(", ")[0]
+    disc = f"d{k} AS (SELECT count(*) FILTER (n = 1) / (count(*) FILTER (n = 1) + 2 * count(*) FILTER (n = 2))::DOUBLE AS d FROM c{k})"
+    if k == 1:
+        return f"""{disc},
+        floor AS (SELECT d * count(*) / sum(n)::DOUBLE / (SELECT count(*) + 4 FROM lvocab) AS f, sum(n) AS total FROM c1, d1 GROUP BY d),
+        p1 AS MATERIALIZED (SELECT w{n}, (n - d) / total + f AS p FROM c1, d1, floor)"""
+    lower = ids.partition(", ")[2]
+    return f"""{disc},
+        x{k} AS MATERIALIZED (SELECT {before}, sum(n) AS total, d * count(*) / sum(n)::DOUBLE AS left_over FROM c{k}, d{k} GROUP BY {before}, d),
+        p{k} AS MATERIALIZED (SELECT {ids}, (c.n - d) / total + left_over * q.p AS p
+          FROM c{k} c JOIN x{k} USING ({before}) JOIN p{k - 1} q USING ({lower}), d{k})"""
+
+
+# trigrams of the lyrics with their predecessors, counted, and smoothed
+KNESER_NEY = f"""
+{LYRIC_IDS},
+grams AS MATERIALIZED (
+  SELECT doc_id, is_test, pos, coalesce(lag(a, 2) OVER w, -1) AS w1, lag(a) OVER w AS w2, a AS w3 FROM lids
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+c3 AS MATERIALIZED (SELECT w1, w2, w3, count(*) AS n FROM grams WHERE NOT is_test AND pos > 1 GROUP BY ALL),
+c2 AS MATERIALIZED (SELECT w2, w3, count(*) AS n FROM c3 GROUP BY ALL),
+c1 AS MATERIALIZED (SELECT w3, count(*) AS n FROM c2 GROUP BY ALL),
+{_smoothed(1)}, {_smoothed(2)}, {_smoothed(3)}
+"""
+
+# --- fixed values: cumulated probabilities of a Poisson number of mean 1 ---
+POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(17)]
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "s1_lyrics_csv": NUMBERED,
@@ -422,6 +455,16 @@ ORACLE: dict[str, str] = {
     "e2_loss": f"""
         WITH {LOSSES} SELECT doc_id, round(loss, 6) AS loss, CAST(n AS INTEGER) AS n FROM losses
         WHERE model = 'finetuned'""",
+    "e1_kneser_ney": f"WITH {KNESER_NEY} SELECT concat_ws(' ', w1, w2, w3) AS gram, round(p, 9) AS p FROM p3",
+    "e2_loss_kneser_ney": f"""
+        WITH {KNESER_NEY},
+        sizes AS (SELECT doc_id, CAST(least(count(*), 1024) AS INTEGER) AS n FROM lids GROUP BY doc_id),
+        scored AS (
+          SELECT doc_id, coalesce(p3.p, coalesce(x3.left_over, 1.0) * coalesce(p2.p, coalesce(x2.left_over, 1.0) * coalesce(p1.p, f))) AS p
+          FROM grams g LEFT JOIN p3 USING (w1, w2, w3) LEFT JOIN x3 ON x3.w1 = g.w1 AND x3.w2 = g.w2
+          LEFT JOIN p2 ON p2.w2 = g.w2 AND p2.w3 = g.w3 LEFT JOIN x2 ON x2.w2 = g.w2 LEFT JOIN p1 ON p1.w3 = g.w3, floor
+          WHERE is_test AND pos BETWEEN 2 AND 1024)
+        SELECT doc_id, round(avg(-ln(p)), 6) AS loss, n FROM scored JOIN sizes USING (doc_id) GROUP BY doc_id, n""",
     "e3_ppl": f"WITH {LOSSES} SELECT model, round(ppl, 6) AS ppl FROM ppl",
     "e4_pairs": f"WITH {PAIRS} SELECT doc_id, input, reference, cand_original, cand_finetuned FROM kept",
     "e4_cut_pairs": f"""
@@ -489,6 +532,28 @@ ORACLE: dict[str, str] = {
         SELECT metric, round(max(value) FILTER (WHERE model = 'original'), 6) AS original,
                round(max(value) FILTER (WHERE model = 'finetuned'), 6) AS finetuned
         FROM metrics GROUP BY metric""",
+    "e7_intervals": f"""
+        WITH {PAIRS}, {_match('answers', 'doc_id, model')}, {LOSSES.split(LYRICS, 1)[1].lstrip(' ,' + chr(10))},
+        rows AS (
+          SELECT doc_id, model, unnest(['precision', 'recall', 'f1']) AS metric, unnest([precision, recall, f1]) AS value, 1.0::DOUBLE AS weight FROM scores
+          UNION ALL SELECT doc_id, model, 'ppl', loss, n::DOUBLE FROM losses),
+        drawn AS (
+          SELECT *, ('0x' || substr(md5('{SEED}:' || replicate || ':' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+          FROM rows, (SELECT unnest(generate_series(0, 200)) AS replicate)),
+        counted AS (
+          SELECT *, weight * CASE WHEN replicate = 0 THEN 1 ELSE len(list_filter({POISSON}::DOUBLE[], lambda c: c <= u)) END AS w FROM drawn),
+        means AS (
+          SELECT metric, replicate, model, CASE WHEN metric = 'ppl' THEN exp(sum(w * value) / sum(w)) ELSE sum(w * value) / sum(w) END AS value
+          FROM counted GROUP BY 1, 2, 3 HAVING sum(w) > 0),
+        long AS (
+          SELECT * FROM means
+          UNION ALL
+          SELECT metric, replicate, 'difference', b.value - a.value FROM means a JOIN means b USING (metric, replicate)
+          WHERE a.model = 'original' AND b.model = 'finetuned'),
+        ranked AS (
+          SELECT metric, model, value, row_number() OVER (PARTITION BY metric, model ORDER BY value) AS r FROM long WHERE replicate > 0)
+        SELECT metric, model, round(any_value(l.value), 6) AS value, round(max(k.value) FILTER (r = 5), 6) AS low, round(max(k.value) FILTER (r = 196), 6) AS high
+        FROM long l JOIN ranked k USING (metric, model) WHERE replicate = 0 GROUP BY metric, model""",
     "split_summary": f"""
         WITH ranked AS (SELECT *, row_number() OVER (ORDER BY doc_id DESC) AS r FROM documents),
         rows AS (
