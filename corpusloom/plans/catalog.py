@@ -12,7 +12,7 @@ from ..functions.dialog import extract_reply
 from ..functions.tokens import pretokenize, token_count
 from ..operators import batches, bootstrap, dialogs, filters, kneser_ney, ngram, packing, scoring, splits, subwords, vocab
 from ..session import land, once, scratch_dir
-from ..sources import readers, writers
+from ..sources import readers, tree_source, writers
 from ..streaming.chat import chat_history_stream
 from . import evaluation
 from .corpora import (
@@ -138,13 +138,13 @@ def s5_id_list(spark, folder):
     return readers.read_id_list(spark, path)
 
 
-def _songs(spark, folder):
+def _songs(spark, folder, read=readers.read_text_tree):
     """Documents written one per file under a folder per source, and read back."""
     path = scratch_dir(spark, "song-tree")
     rows = load(spark, folder, "documents").select(
         F.col("source").alias("artist"), F.col("doc_id").cast("string").alias("song"), "text"
     )
-    return readers.read_text_tree(spark, writers.write_text_tree(rows, path))
+    return read(spark, writers.write_text_tree(rows, path), escaped=True)
 
 
 @query
@@ -152,6 +152,11 @@ def s6_text_tree(spark, folder):
     return _songs(spark, folder)
 
 
+@query
+def s6_text_tree_source(spark, folder):
+    return _songs(spark, folder, tree_source.load_text_tree)
+
+
 @query
 def s7_prompts(spark, folder):
     path = scratch_dir(spark, "prompts")

@@ -568,3 +568,4 @@ for _name in ("k4_ids", "k6_decode", "e5_match_vectors"):
     ORACLE[f"{_name}_joined"] = ORACLE[_name]
 for _name in ("s3_json_records", "s4_dialogs_json"):
     ORACLE[f"{_name}_parallel"] = ORACLE[_name]
+ORACLE["s6_text_tree_source"] = ORACLE["s6_text_tree"]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import normalize_newlines
 from .cutting import CSV, JSON, cut_records
+from .names import unescaped
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -168,9 +169,16 @@ def _read_songs(root: str):
     return run
 
 
-def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
+@F.arrow_udf(T.StringType())
+def _unescaped(names: pa.Array) -> pa.Array:
+    return pa.array([unescaped(n) for n in names.to_pylist()], pa.string())
+
+
+def read_text_tree(spark: SparkSession, root: str, escaped: bool = False) -> DataFrame:
     """``artist, song, text`` from ``root/<artist>/<song>.txt``; files directly under the root are skipped.
 
+    ``escaped`` says that ``write_text_tree`` made the names. For a partition by bytes see ``tree_source``.
+
     Every file is read, also empty ones and those whose names begin with ``_`` or ``.``, which Spark's own
     listing hides. The driver lists the artists; their songs are listed and read by the tasks.
     """
@@ -183,8 +191,10 @@ def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
     files = names.mapInArrow(_list_songs(root), "artist string, name string")
     # a song is dealt by its own name, so that an artist with very many is read by many tasks
     read = files.repartition("artist", "name").mapInArrow(_read_songs(root), "artist string, name string, value string")
-    song = F.regexp_replace("name", r"\.txt$", "").alias("song")
-    return read.select("artist", song, normalize_newlines(F.col("value")).alias("text"))
+    artist, song = F.col("artist"), F.regexp_replace("name", r"\.txt$", "")
+    if escaped:
+        artist, song = _unescaped(artist), _unescaped(song)
+    return read.select(artist.alias("artist"), song.alias("song"), normalize_newlines(F.col("value")).alias("text"))
 
 
 def read_prompts(spark: SparkSession, source: str | list[str]) -> DataFrame:
