@@ -14,6 +14,7 @@ from ..operators import batches, bootstrap, dialogs, filters, kneser_ney, ngram,
 from ..session import land, once, scratch_dir
 from ..sources import readers, tree_source, writers
 from ..streaming.chat import chat_history_stream
+from ..streaming.ordered import ordered_turns_stream
 from . import evaluation
 from .corpora import (
     chat_examples,
@@ -368,6 +369,26 @@ def c5_history_stream(spark, folder):
     return spark.read.parquet(sink).select("conv_id", "turn", "out", "n_late")
 
 
+@query
+def c5_ordered_stream(spark, folder):
+    """Turns that arrive out of order over several batches, put in order by the stream, and the prompts of the result."""
+    source, sink, state = (scratch_dir(spark, f"ordered-{part}") for part in ("turns", "out", "state"))
+    turns = load(spark, folder, "conversations").select("conv_id", "turn", "text", F.timestamp_seconds(F.col("turn") * 60).alias("at"))
+    for part in range(3):
+        turns.where(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3)) == part).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    running = (
+        ordered_turns_stream(stream, delay_seconds=86_400)
+        .writeStream.format("parquet")
+        .option("path", sink)
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return dialogs.chat_prompts(spark.read.parquet(sink).where("NOT is_late"), turn="pos").withColumnRenamed("pos", "turn")
+
+
 # --- tokens and blocks ----------------------------------------------------------------------------
 
 

@@ -318,6 +318,7 @@ ORACLE: dict[str, str] = {
     "c4_reply": """
         SELECT conv_id, turn, coalesce(replace(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), ' ', ''), '') AS out
         FROM conversations""",
+    "c5_ordered_stream": PROMPTS,
     "c5_history_stream": PROMPTS.replace("turn, out FROM (SELECT", "turn, out, 0::BIGINT AS n_late FROM (SELECT"),
     # corpora
     "lyrics_corpus": _corpus(
