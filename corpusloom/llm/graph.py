@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import land
+from .keyed import look_up
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -14,7 +15,7 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     Each round hangs all neighbours of a node under the smallest of them, first its larger ones, then its
     smaller ones; after a few rounds (logarithmic in practice) only stars are left. Rounds are written to
     the shared folder, so lineage stays short. Minima combine before the shuffle, so a node with very many
-    edges is one row per task there; the joins that follow are plain ones whose skew Spark can split.
+    edges is one row per task there; the joins that follow deal its edges over copies of its minimum.
     Edges with a NULL end or from a node to itself are ignored; an empty table gives an empty result.
     """
     u, v = F.col("u"), F.col("v")
@@ -29,9 +30,10 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     while state[0]:
         both = now.unionByName(now.select(v.alias("u"), u.alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v"))
+        large = look_up(both, least, ["u"], ["v"]).where(v > u).select(v.alias("u"), F.col("m").alias("v"))
+        large = land(large, "large")
         floor = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(floor, "u").select(v.alias("u"), F.col("m").alias("v"))
+        small = look_up(large, floor, ["u"], ["v"]).select(v.alias("u"), F.col("m").alias("v"))
         after = floor.select("u", F.col("m").alias("v")).unionByName(small).where(u != v).distinct()
         now = land(after, "stars")
         new = _summary(now)

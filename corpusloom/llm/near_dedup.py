@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..session import land
 from . import words
 from .graph import components
+from .keyed import look_up
 
 K = 128  # MinHash values of a signature
 ORDERS = 24  # sorted orders of the forest
@@ -308,14 +309,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, doc_id: str =
     named = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     named = land(named, "sets")
     # a repeated doc_id may name two sets: they are one document and their links meet in it
-    sets = usable.join(named, ["f1", "f2", "n_shingles"]).where(F.col("doc_id") == F.col("rep"))
+    key = ["f1", "f2", "n_shingles"]
+    sets = look_up(usable, named, key, ["doc_id"]).where(F.col("doc_id") == F.col("rep"))
     sets = sets.select("rep", "bits", "regions", "deep").dropDuplicates(["rep", "bits"])
     pairs = land(candidate_pairs(sets), "meetings")
     clusters = land(components(pairs).withColumnRenamed("node", "rep"), "clusters")
     sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
+    if not signed.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").isEmpty():
+        # rows that repeat an id and a text are one row before they move
+        texts = texts.groupBy("rep", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")).agg(F.min("text").alias("text"))
+        texts = texts.select("rep", "text")
     # one plan at every size: clusters grow with the corpus, so they are never sent whole
-    members = clusters.join(sizes, "root").join(texts.hint("merge"), "rep")
+    members = look_up(clusters, sizes, ["root"], ["rep"]).join(texts.hint("merge"), "rep")
     members = members.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK)))
     members = land(members, "members")
     small = members.where(F.col("size") <= BLOCK)
@@ -325,7 +331,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, doc_id: str =
         edges = edges.unionByName(_large_links(large, k, share))
     groups = components(edges).withColumnRenamed("node", "rep")
     answer = named.join(groups, "rep", "left").select("f1", "f2", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
-    rows = signed.select("doc_id", "n_shingles", "f1", "f2").join(answer, ["f1", "f2", "n_shingles"], "left")
+    slim = signed.select("doc_id", *key)
+    rows = look_up(slim.where("n_shingles > 0"), answer, key, ["doc_id"])
+    rows = rows.unionByName(slim.where("n_shingles = 0").withColumn("component_id", F.lit(None).cast("long")))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     rows = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))

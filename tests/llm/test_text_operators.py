@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, near_dedup, quality, secrets, url_filter, words
+from corpusloom.llm.graph import components
 
 DOCS = "doc_id long, text string, job string, rep string, kinds string, region string, found string, hits string"
 
@@ -359,3 +360,19 @@ def test_quality_rejects_toxic_documents_of_every_language(spark):
         assert sum(r.n * r.share for r in good) / sum(r.n for r in good) >= kept_good
         toxic = [r for r in rows if r.grade == 0 and r.n >= 25]
         assert all(r.share <= kept_toxic for r in toxic), toxic
+
+
+def test_near_dedup_of_a_row_repeated_very_often(spark):
+    """A hub of equal rows beside a near copy: one row of it is compared, and all come back."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    rows = rows.unionByName(spark.createDataFrame([(9, text + " x"), (3, "other words"), (None, text)], "doc_id long, text string"))
+    found = near_dedup.near_duplicates(rows, k=2).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(7, 7, True, 20_000), (9, 7, False, 1), (3, 3, True, 1), (None, None, True, 1)], key=str)
+
+
+def test_components_of_hubs(spark):
+    edges = [(0, i) for i in range(1, 3_000)] + [(i, i + 5_000) for i in range(1, 500)] + [(20_000, 20_001), (20_001, 20_000), (4, 4), (None, 1)]
+    found = components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()
+    nodes = {n for e in edges if None not in e and e[0] != e[1] for n in e}
+    assert {r.node: r.root for r in found} == {n: 20_000 if n >= 20_000 else 0 for n in nodes} and len(found) == len(nodes)
