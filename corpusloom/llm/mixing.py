@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 SEED = "mix-1"
 # Poisson terms with larger means underflow when started at exp(-mean): a document draws several parts of at most this mean
 PART = 500.0
+LOT = 10_000  # copies of a document made at once
 
 
 def uniform(*parts: Column) -> Column:
@@ -74,21 +75,28 @@ def poisson_mix(
 ) -> DataFrame:
     """Each row of ``docs`` as often as it draws, in a global random order, with ``_copy`` (from 1) and ``_order`` added.
 
-    A NULL id draws like the empty text. Repeated rows draw alike and are all replicated. Empty and NULL texts
-    have no volume but draw with their source's rate. An empty table gives an empty result. Columns of ``docs``
-    keep their names; only ``_copy`` and ``_order`` must be free.
+    A NULL id draws like the empty text. Repeated rows draw alike and are all replicated; rows of equal ``_order`` stand
+    by their text's hash. Empty and NULL texts have no volume but draw with their source's rate. An empty table gives an empty
+    result. Columns of ``docs`` keep their names; only ``_copy`` and ``_order`` must be free. A document's copies are made in lots, so
+    a tiny source may be repeated any number of times.
     """
+    # names of our own that no column of the table has
+    mark = "_"
+    while any(c.lower().startswith(f"{mark}mix_") for c in docs.columns):
+        mark += "_"
+    own_source, own_parts, own_steps, own_copies, own_lot, own_tie, own_row = (
+        f"{mark}mix_{n}" for n in ("source", "parts", "steps", "copies", "lot", "tie", "row")
+    )
     per_source = rates(docs, weights, total, source, text)
     parts = F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)).cast("int")
-    table = per_source.select(
-        F.col("source").alias("_source"), parts.alias("_parts"), _cumulated(F.col("rate") / parts).alias("_cumulated")
-    )
-    joined = docs.join(table, F.col(source).eqNullSafe(F.col("_source")))
-    draws = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda i: uniform(F.lit(seed), F.col(doc_id), i))
-    copies = F.aggregate(
-        draws, F.lit(0), lambda n, u: n + F.size(F.filter("_cumulated", lambda c: c <= u))
-    )
-    copied = joined.withColumn("_copies", copies).where("_copies > 0")
-    exploded = copied.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    table = per_source.select(F.col("source").alias(own_source), parts.alias(own_parts), _cumulated(F.col("rate") / parts).alias(own_steps))
+    joined = docs.join(table, F.col(source).eqNullSafe(F.col(own_source)))
+    draws = F.transform(F.sequence(F.lit(1), F.col(own_parts)), lambda i: uniform(F.lit(seed), F.col(doc_id), i))
+    copies = F.aggregate(draws, F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter(own_steps, lambda c: c <= u)))
+    copied = joined.withColumn(own_copies, copies).where(F.col(own_copies) > 0)
+    lots = copied.withColumn(own_lot, F.explode(F.sequence(F.lit(1).cast("long"), F.col(own_copies), F.lit(LOT).cast("long"))))
+    exploded = lots.withColumn("_copy", F.explode(F.sequence(F.col(own_lot), F.least(F.col(own_lot) + (LOT - 1), F.col(own_copies)))))
     ordered = exploded.withColumn("_order", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_copy")))
-    return ordered.drop("_source", "_parts", "_cumulated", "_copies").orderBy("_order")
+    # equal rows are told apart by their place, so that they need not stand in one range
+    ties = ordered.withColumns({own_tie: F.xxhash64(text), own_row: F.monotonically_increasing_id()})
+    return ties.orderBy("_order", own_tie, own_row).drop(own_source, own_parts, own_steps, own_copies, own_lot, own_tie, own_row)

@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of documents that make all sources weigh the same at today's volume."""
     mixed = mixing.poisson_mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", F.col("_copy").alias("copy"), F.col("_order").alias("order_key"))
+    return mixed.select("doc_id", "source", F.col("_copy").cast("int").alias("copy"), F.col("_order").alias("order_key"))
 
 
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

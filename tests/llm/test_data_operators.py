@@ -286,3 +286,26 @@ def test_damaged_frame_is_refused(spark, tmp_path):
     (tmp_path / "bad.zst").write_bytes(raw)
     with pytest.raises((ValueError, zstandard.ZstdError)):
         token_files.TokenFile(str(tmp_path / "bad.zst")).frame(0)
+
+
+# ---- awkward tables ----
+
+
+def test_mixing_keeps_clashing_columns_and_makes_many_copies(spark):
+    schema = "doc_id long, text string, source string, _source string, _parts int, _mix_copies int, _cumulated string"
+    docs = spark.createDataFrame([(1, "a", "s", "x", 1, 7, "c"), (2, "b" * 50, "t", "y", 2, 8, "d"), (2, "b" * 50, "t", "y", 2, 8, "d")], schema)
+    out = mixing.poisson_mix(docs)
+    assert out.columns == [*docs.columns, "_copy", "_order"]
+    assert out.where("_mix_copies NOT IN (7, 8) OR _source NOT IN ('x', 'y')").count() == 0
+    # one byte against many: more copies than an array of them would hold in one lot
+    many = mixing.poisson_mix(docs.where("doc_id = 1"), total=35_000.0).select("_copy").collect()
+    assert sorted(r._copy for r in many) == list(range(1, len(many) + 1)) and 34_000 < len(many) < 36_000
+
+
+def test_token_files_of_one_id_do_not_depend_on_partitions(spark, tmp_path):
+    docs = spark.createDataFrame([(5, f"text {i % 90}") for i in range(300)], "doc_id long, text string")
+    found = []
+    for parts in (2, 5):
+        files = token_files.write_tokens(docs.repartition(parts), str(tmp_path / f"t{parts}"), PATH)
+        found.append(sorted(map(tuple, token_files.read_tokens(files).collect())))
+    assert found[0] == found[1] and len(found[0]) == 300
