@@ -299,14 +299,16 @@ def write_tokens(
     """Write the texts' ids, an end id after each document, in the order of ``order_by``; returns the table of files.
 
     ``folder`` is one that all executors reach; ``tokenizer`` is the path of a byte-level tokenizer file on every machine. NULL texts are empty: their
-    document is the end id alone. NULL ids come first and are kept as NULL; repeated rows are written each. An empty table writes no file.
+    document is the end id alone. NULL ids come first and are kept as NULL; repeated rows are written each; rows that ``order_by`` does not tell
+    apart stand by their text's hash, then their text. An empty table writes no file.
     Other columns are only looked at if ``order_by`` names them.
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"), *[k.alias(f"_key{i}") for i, k in enumerate(keys)])
-    names = [f"_key{i}" for i in range(len(keys))]
+    names = [*(f"_key{i}" for i in range(len(keys))), "_tie"]
+    rows = rows.withColumn("_tie", F.xxhash64("_text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, *names).sortWithinPartitions(*names)
+    dealt = rows.repartitionByRange(parts, *names).sortWithinPartitions(*names, "_text")
     files = dealt.select("_id", "_text").mapInArrow(_write(folder, tokenizer, end_id), MANIFEST)
     return land(files, "token-manifest")
 
