@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text as tx
 from ..functions.dialog import extract_reply
 from ..functions.tokens import pretokenize, token_count
-from ..operators import batches, bootstrap, dialogs, filters, kneser_ney, ngram, packing, scoring, splits, subwords, vocab
+from ..operators import batches, bootstrap, dialogs, filters, kneser_ney, lengths, ngram, packing, scoring, splits, subwords, vocab
 from ..session import land, once, scratch_dir
 from ..sources import readers, tree_source, writers
+from ..streaming import metrics
 from ..streaming.chat import chat_history_stream
 from ..streaming.ordered import ordered_turns_stream
 from . import evaluation
@@ -545,6 +546,17 @@ def k7_truncation(spark, folder):
     return report.withColumn("share_over", F.round("share_over", 6))
 
 
+@query
+def k7_length_sketch(spark, folder):
+    """Quantiles of the documents' lengths by source, from stored sketches by source and language, and the block that holds 95 % whole."""
+    docs = load(spark, folder, "documents").select("source", "lang", token_count(F.col("text")).alias("n_tokens"))
+    stored = land(lengths.length_sketch(docs, "source", "lang"), "sketches")
+    merged = lengths.merge_sketches(stored, "source")
+    found = lengths.sketch_quantiles(merged, [0.5, 0.9, 0.99], "source").groupBy("source").pivot("share", [0.5, 0.9, 0.99]).agg(F.first("length"))
+    named = found.select("source", *[F.round(F.col(f"`{s}`"), 6).alias(n) for s, n in ((0.5, "p50"), (0.9, "p90"), (0.99, "p99"))])
+    return named.join(lengths.block_for(merged, 0.95, "source"), "source")
+
+
 # --- batches --------------------------------------------------------------------------------------
 
 
@@ -571,6 +583,19 @@ def b3_metric_summary(spark, folder):
     return batches.metric_summary(log, "tag", "epoch").withColumn("avg", F.round("avg", 6))
 
 
+@query
+def b3_metric_stream(spark, folder):
+    """The event log arriving in batches, summed up in a ledger."""
+    source, ledger, state = (scratch_dir(spark, f"metrics-{part}") for part in ("log", "ledger", "state"))
+    log = load(spark, folder, "events").select(
+        F.col("event_type").alias("tag"), F.floor(F.col("event_id") / 1000).alias("epoch"), F.col("event_id").alias("step"), "value"
+    )
+    log.repartition(4, "step").write.parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    metrics.summarise_stream(stream, ledger, state, "tag", "epoch", availableNow=True).awaitTermination()
+    return metrics.read_summary(spark, ledger, "tag", "epoch").withColumn("avg", F.round("avg", 6))
+
+
 # --- evaluation -----------------------------------------------------------------------------------
 
 
@@ -720,9 +745,9 @@ def e6_mean(spark, folder):
 @query
 def e7_compare(spark, folder):
     means = scoring.mean_prf(evaluation.score_models(_candidates(spark, folder), "doc_id"), "model")
-    metrics = scoring.to_metrics(means, "model", "precision", "recall", "f1")
+    scores = scoring.to_metrics(means, "model", "precision", "recall", "f1")
     ppl = scoring.to_metrics(_perplexities(spark, folder), "model", "ppl")
-    table = scoring.compare_models(metrics.unionByName(ppl))
+    table = scoring.compare_models(scores.unionByName(ppl))
     return table.select("metric", *[F.round(m, 6).alias(m) for m in evaluation.MODELS])
 
 

@@ -224,6 +224,12 @@ c1 AS MATERIALIZED (SELECT w3, count(*) AS n FROM c2 GROUP BY ALL),
 # --- fixed values: cumulated probabilities of a Poisson number of mean 1 ---
 POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(17)]
 
+def _class(length: str) -> str:
+    """The length that stands for the class of an exact one: classes grow by 101 / 99."""
+    factor = "(101.0::DOUBLE / 99)"
+    return f"CASE WHEN {length} < 1 THEN 0.0 ELSE 2 * pow({factor}, ceil(ln({length}) / ln({factor}) - 1e-9)) / ({factor} + 1) END"
+
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "s1_lyrics_csv": NUMBERED,
@@ -432,6 +438,17 @@ ORACLE: dict[str, str] = {
         SELECT count(*) AS n_docs, count(*) FILTER (WHERE n_tokens > 1020) AS n_over,
                round(avg(CASE WHEN n_tokens > 1020 THEN 1.0::DOUBLE ELSE 0.0 END), 6) AS share_over,
                CAST(sum(greatest(n_tokens - 1020, 0)) AS BIGINT) AS tokens_lost FROM n""",
+    "k7_length_sketch": f"""
+        WITH n AS (SELECT source, len({_tokens('text')}) AS n FROM documents),
+        ranked AS (
+          SELECT source, n, row_number() OVER (PARTITION BY source ORDER BY n) AS r, count(*) OVER (PARTITION BY source) AS c FROM n),
+        exact AS (
+          SELECT source, min(n) FILTER (r >= ceil(0.5 * c)) AS e50, min(n) FILTER (r >= ceil(0.9 * c)) AS e90, min(n) FILTER (r >= ceil(0.99 * c)) AS e99,
+                 min(n) FILTER (r >= ceil(0.95 * c)) AS e95 FROM ranked GROUP BY source),
+        classed AS (
+          SELECT source, {_class('e50')} AS p50, {_class('e90')} AS p90, {_class('e99')} AS p99, {_class('e95')} AS p95 FROM exact)
+        SELECT source, round(p50, 6) AS p50, round(p90, 6) AS p90, round(p99, 6) AS p99,
+               CAST(pow(2, ceil(log2(greatest(p95 * 0.99, 1.0)))) AS BIGINT) AS block FROM classed""",
     # batches
     "b1_batches": f"""
         WITH epochs AS (SELECT CAST(unnest(range(3)) AS INTEGER) AS epoch),
@@ -570,3 +587,4 @@ for _name in ("k4_ids", "k6_decode", "e5_match_vectors"):
 for _name in ("s3_json_records", "s4_dialogs_json"):
     ORACLE[f"{_name}_parallel"] = ORACLE[_name]
 ORACLE["s6_text_tree_source"] = ORACLE["s6_text_tree"]
+ORACLE["b3_metric_stream"] = ORACLE["b3_metric_summary"]
