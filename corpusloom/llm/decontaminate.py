@@ -40,6 +40,7 @@ BITS = 2  # places of the embedding that a repetition samples
 RECALL = 0.999  # wanted probability of finding an item at the full distance
 TRIALS = 8  # edited copies of each item by which the repetitions are measured
 BLOCK_BYTES = 4 << 20  # benchmark text held by a task at once
+WINDOW_WORDS = 1 << 21  # words of the windows embedded at once, and of the texts compared at once
 
 
 @dataclass(frozen=True)
@@ -213,31 +214,42 @@ def _confirm(
     n, e = len(text), allowed(len(text))
     before = np.searchsorted(rows, np.arange(rows[-1] + 2))  # first word of each row
     out = []
-    for s in range(0, len(starts), 4096):
-        some, own = starts[s : s + 4096], owner[s : s + 4096]
-        shifted = (some[:, None] + np.arange(-e, e + 1)[None, :]).reshape(-1)
-        places = shifted[:, None] + np.arange(n)[None, :]
-        whose = np.repeat(own, 2 * e + 1)
-        inside = (places >= before[whose][:, None]) & (places < before[whose + 1][:, None])
-        windows = np.where(inside, hashes[np.clip(places, 0, len(hashes) - 1)], np.uint64(0))
-        # one agreeing window settles a start
-        windows = windows.reshape(len(some), 2 * e + 1, n)
+    # starts and shifts taken at once, so that the words of their windows stay within a bound however long the item is
+    shifts = np.arange(-e, e + 1)
+    held = max(1, min(len(shifts), WINDOW_WORDS // n))
+    step = max(1, WINDOW_WORDS // (held * n))
+    for s in range(0, len(starts), step):
+        some, own = starts[s : s + step], owner[s : s + step]
         near = np.zeros(len(some), bool)
-        for repetition in range(items.repetitions):
-            left = np.flatnonzero(~near)
-            if not len(left):
+        for first in range(0, len(shifts), held):
+            open_ = np.flatnonzero(~near)
+            if not len(open_):
                 break
-            sample = _places(repetition, n)
-            same = embed(windows[left].reshape(-1, n), repetition, sample) == embed(text[None, :], repetition, sample)
-            near[left] = same.all(axis=1).reshape(len(left), -1).any(axis=1)
+            part = shifts[first : first + held]
+            places = (some[open_, None] + part[None, :]).reshape(-1)[:, None] + np.arange(n)[None, :]
+            whose = np.repeat(own[open_], len(part))
+            inside = (places >= before[whose][:, None]) & (places < before[whose + 1][:, None])
+            windows = np.where(inside, hashes[np.clip(places, 0, len(hashes) - 1)], np.uint64(0)).reshape(len(open_), len(part), n)
+            # one agreeing window settles a start
+            agreed = np.zeros(len(open_), bool)
+            for repetition in range(items.repetitions):
+                left = np.flatnonzero(~agreed)
+                if not len(left):
+                    break
+                sample = _places(repetition, n)
+                same = embed(windows[left].reshape(-1, n), repetition, sample) == embed(text[None, :], repetition, sample)
+                agreed[left] = same.all(axis=1).reshape(len(left), -1).any(axis=1)
+            near[open_[agreed]] = True
         kept = np.flatnonzero(near)
         if not len(kept):
             continue
-        places = some[kept][:, None] + np.arange(-2 * e, n + 2 * e)[None, :]
-        inside = (places >= before[own[kept]][:, None]) & (places < before[own[kept] + 1][:, None])
-        edits, _ = _fit(text, np.where(inside, hashes[np.clip(places, 0, len(hashes) - 1)], np.uint64(0)))
-        good = edits <= e
-        out.append(np.stack([own[kept][good] + at, np.full(good.sum(), i), edits[good]], axis=1))
+        wide = max(1, WINDOW_WORDS // (n + 4 * e))
+        for some_kept in (kept[k : k + wide] for k in range(0, len(kept), wide)):
+            places = some[some_kept][:, None] + np.arange(-2 * e, n + 2 * e)[None, :]
+            inside = (places >= before[own[some_kept]][:, None]) & (places < before[own[some_kept] + 1][:, None])
+            edits, _ = _fit(text, np.where(inside, hashes[np.clip(places, 0, len(hashes) - 1)], np.uint64(0)))
+            good = edits <= e
+            out.append(np.stack([own[some_kept][good] + at, np.full(good.sum(), i), edits[good]], axis=1))
     return np.concatenate(out) if out else np.empty((0, 3), np.int64)
 
 

@@ -376,3 +376,27 @@ def test_components_of_hubs(spark):
     found = components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()
     nodes = {n for e in edges if None not in e and e[0] != e[1] for n in e}
     assert {r.node: r.root for r in found} == {n: 20_000 if n >= 20_000 else 0 for n in nodes} and len(found) == len(nodes)
+
+
+def test_weighted_url_terms_from_a_table(spark):
+    schema = "term string, strict boolean, weight double"
+    rows = [("Bad", True, None), ("bad", False, 9.0), ("meh", False, 0.75), ("so", False, None), ("so", False, 0.5), ("", True, 1.0), (None, True, 1.0), ("x-y", None, 1.25)]
+    terms = url_filter.terms_from_table(spark.createDataFrame(rows, schema))
+    assert terms == (url_filter.Term("bad", True, 1.0), url_filter.Term("meh", False, 0.75), url_filter.Term("so", False, 1.0), url_filter.Term("x-y", False, 1.25))
+    urls = ["http://a.com/bad", "http://a.com/badly/meh", "http://a.com/meh/so", "http://a.com/meh/meh/x-y", "http://a.com/meh?so&x-y", None, ""]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: (r.verdict, r.n_strict, r.n_soft) for r in url_filter.judge(pages, rules=(), terms=terms).collect()}
+    assert found == {0: ("block", 1, 0), 1: ("allow", 0, 1), 2: ("allow", 0, 2), 3: ("block", 0, 2), 4: ("block", 0, 3), 5: ("allow", 0, 0), 6: ("allow", 0, 0)}
+    assert url_filter.judge(pages, terms=()).where("verdict = 'block'").count() == 0
+
+
+def test_long_items_are_confirmed_in_bounded_pieces(spark, monkeypatch):
+    rng = random.Random(11)
+    item = [f"w{rng.randrange(400)}" for _ in range(300)]
+    near = [w if rng.random() > 0.1 else "other" for w in item]
+    docs = [(1, " ".join(["a"] * 40 + near + ["b"] * 9)), (2, " ".join(item[:150] + ["z"] * 150)), (3, " ".join(item))]
+    benchmark = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    wide = sorted(map(tuple, decontaminate.contamination(table(spark, docs), benchmark).collect()))
+    monkeypatch.setattr(decontaminate, "WINDOW_WORDS", 1_000)
+    assert sorted(map(tuple, decontaminate.contamination(table(spark, docs), benchmark).collect())) == wide
+    assert [r[0] for r in wide] == [1, 3]
