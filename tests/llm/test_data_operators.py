@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -309,3 +310,30 @@ def test_token_files_of_one_id_do_not_depend_on_partitions(spark, tmp_path):
         files = token_files.write_tokens(docs.repartition(parts), str(tmp_path / f"t{parts}"), PATH)
         found.append(sorted(map(tuple, token_files.read_tokens(files).collect())))
     assert found[0] == found[1] and len(found[0]) == 300
+
+
+def plain_shard(key, tree):
+    """The weighted draws down the tree, with a hash library of its own."""
+
+    def draw(path, weights):
+        best = []
+        for i, w in enumerate(weights):
+            h = 42 if key is None else xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+            for part in (*path, i):
+                h = xxhash.xxh64_intdigest(part.to_bytes(4, "little"), h)
+            if w > 0:
+                best.append((-math.log(((h >> 11) + 0.5) / 2**53) / w, i))
+        return min(best)[1]
+
+    region = draw((1,), [sum(map(sum, r)) for r in tree.regions])
+    rack = draw((2, region), [sum(r) for r in tree.regions[region]])
+    before = sum(len(k) for r in tree.regions[:region] for k in r) + sum(map(len, tree.regions[region][:rack]))
+    return before + draw((3, region, rack), tree.regions[region][rack])
+
+
+def test_placement_equals_draws_by_another_library(spark):
+    tree = sharding.HashTree((((1.0, 2.0), (0.0, 3.0, 1.0)), ((0.5,),), ((1.0, 1.0, 1.0, 1.0),)))
+    keys = [None, 0, -1, 2**63 - 1, -(2**63), *range(1, 600)]
+    docs = spark.createDataFrame([(k, "text") for k in keys], "doc_id long, text string")
+    found = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.shard(docs, tree).collect()}
+    assert found == {k: (plain_shard(k, tree), plain_shard(k, tree.grown())) for k in keys}
