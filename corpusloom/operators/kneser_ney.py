@@ -67,7 +67,9 @@ def fit_kneser_ney(df: DataFrame, vocab_size: int, ids: str = "ids", order: int
     grams, contexts = {}, {}
     words = counts[1].agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).first()
     if not words.total:
-        return KneserNey(order, {}, {}, 1 / vocab_size)
+        none = {k: c.select("gram", F.lit(None).cast("double").alias("p")) for k, c in counts.items()}
+        nothing = {k: c.select(F.col("gram").alias("context"), F.col("p").alias("left")) for k, c in none.items() if k > 1}
+        return KneserNey(order, none, nothing, 1 / vocab_size)
     discount = _discount(counts[1])
     floor = discount * words.kinds / words.total / vocab_size
     grams[1] = land(counts[1].select("gram", ((F.col("n") - discount) / words.total + floor).alias("p")), "probabilities")
@@ -88,8 +90,6 @@ def gram_probabilities(wanted: DataFrame, model: KneserNey) -> DataFrame:
     """``gram, p`` of distinct grams of the model's order."""
     rows = wanted.select("gram", F.col("gram").alias("rest"), F.lit(1.0).alias("weight"), F.lit(None).cast("double").alias("p"))
     for k in range(model.order, 0, -1):
-        if k not in model.grams:
-            continue
         rows = land(rows, "wanted")
         seen = salted_lookup(rows, model.grams[k].withColumnsRenamed({"gram": "rest", "p": "found"}), "rest", "gram")
         p = F.coalesce("p", F.col("weight") * F.col("found"))
@@ -99,7 +99,7 @@ def gram_probabilities(wanted: DataFrame, model: KneserNey) -> DataFrame:
         # an unseen context leaves everything to the lower order
         met = salted_lookup(seen, model.contexts[k], "context", "gram")
         rows = met.select("gram", F.slice("rest", 2, k - 1).alias("rest"), (F.col("weight") * F.coalesce("left", F.lit(1.0))).alias("weight"), "p")
-    return rows.select("gram", F.lit(model.floor).alias("p"))
+    raise ValueError("a model has at least order 1")
 
 
 def kneser_ney_loss(df: DataFrame, model: KneserNey, key: str = "doc_id", ids: str = "ids", context: int = fixed.CONTEXT) -> DataFrame:

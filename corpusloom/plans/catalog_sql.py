@@ -200,7 +200,7 @@ def _smoothed(k: int, n: int = 3) -> str:
     disc = f"d{k} AS (SELECT count(*) FILTER (n = 1) / (count(*) FILTER (n = 1) + 2 * count(*) FILTER (n = 2))::DOUBLE AS d FROM c{k})"
     if k == 1:
         return f"""{disc},
-        floor AS (SELECT d * count(*) / sum(n)::DOUBLE / (SELECT count(*) + 4 FROM lvocab) AS f, sum(n) AS total FROM c1, d1 GROUP BY d),
+        floor AS (SELECT coalesce((SELECT d FROM d1) * count(*) / sum(n)::DOUBLE, 1.0) / (SELECT count(*) + 4 FROM lvocab) AS f, sum(n) AS total FROM c1),
         p1 AS MATERIALIZED (SELECT w{n}, (n - d) / total + f AS p FROM c1, d1, floor)"""
     lower = ids.partition(", ")[2]
     return f"""{disc},
