@@ -30,7 +30,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     while state[0]:
         both = now.unionByName(now.select(v.alias("u"), u.alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = look_up(both, least, ["u"], ["v"]).where(v > u).select(v.alias("u"), F.col("m").alias("v"))
+        # from the smaller end of each edge: its larger neighbours
+        large = look_up(now.select(v.alias("u"), u.alias("v")), least, ["u"], ["v"]).select(v.alias("u"), F.col("m").alias("v"))
         large = land(large, "large")
         floor = large.groupBy("u").agg(F.min("v").alias("m"))
         small = look_up(large, floor, ["u"], ["v"]).select(v.alias("u"), F.col("m").alias("v"))
