@@ -400,3 +400,20 @@ def test_long_items_are_confirmed_in_bounded_pieces(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "WINDOW_WORDS", 1_000)
     assert sorted(map(tuple, decontaminate.contamination(table(spark, docs), benchmark).collect())) == wide
     assert [r[0] for r in wide] == [1, 3]
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(4)
+    for nodes, count in ((300, 200), (120, 900), (40, 30)):
+        edges = [(rng.randrange(nodes), rng.randrange(nodes)) for _ in range(count)] + [(1_000 + i, 1_001 + i) for i in range(60)]
+        root = {n: n for e in edges for n in e if e[0] != e[1]}
+        changed = True
+        while changed:
+            changed = False
+            for x, y in edges:
+                if x != y and root[x] != root[y]:
+                    root[x] = root[y] = min(root[x], root[y])
+                    changed = True
+        found = components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()
+        assert {r.node: r.root for r in found} == root and len(found) == len(root)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
