@@ -12,36 +12,20 @@ from .keyed import look_up
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """``node, root``: the smallest node that each node of an edge reaches (roots themselves included).
 
-    First only one edge of each node is followed, that to its smallest neighbour. These trees take most nodes of a dense
-    group together, so all edges are read once more, between trees, and few of those differ; the rounds of alternating
-    stars run on the two small tables and never on all edges. Edges with a NULL end or from a node to itself are
-    ignored; an empty table gives an empty result.
-    """
-    a, b = F.col(left), F.col(right)
-    pairs = edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    pairs = land(pairs, "edges")
-    trees = land(_stars(land(pairs.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("v")), "first")), "trees")
-    # a node that is no one's smallest neighbour and has no smaller one is a tree of its own
-    ends = pairs
-    for end in ("a", "b"):
-        named = look_up(ends, trees.select(F.col("node").alias(end), F.col("root").alias("_root")), [end], ["a", "b"])
-        ends = land(named.withColumn(end, F.coalesce("_root", end)).drop("_root"), "between")
-    between = ends.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    joined = land(_stars(land(between, "between")), "joined")
-    over = joined.select(F.col("node").alias("root"), F.col("root").alias("_over"))
-    inside = look_up(trees, over, ["root"], ["node"]).select("node", F.coalesce("_over", "root").alias("root"))
-    return inside.unionByName(joined.join(trees, "node", "left_anti"))
-
-
-def _stars(now: DataFrame) -> DataFrame:
-    """:func:`components` of written edges ``u > v``.
-
     Each round hangs all neighbours of a node under the smallest of them, first its larger ones, then its
     smaller ones; after a few rounds (logarithmic in practice) only stars are left. Rounds are written to
     the shared folder, so lineage stays short. Minima combine before the shuffle, so a node with very many
     edges is one row per task there; the joins that follow deal its edges over copies of its minimum.
+    Edges with a NULL end or from a node to itself are ignored; an empty table gives an empty result.
     """
     u, v = F.col("u"), F.col("v")
+    now = land(
+        edges.select(F.col(left).alias("u"), F.col(right).alias("v"))
+        .where(u != v)
+        .select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
+        .distinct(),
+        "edges",
+    )
     state = _summary(now)
     while state[0]:
         both = now.unionByName(now.select(v.alias("u"), u.alias("v")))
