@@ -33,10 +33,15 @@ class KneserNey:
 
 
 def _grams(ids: Column, order: int) -> Column:
-    """All grams of an id array that predict its second and later ids."""
+    """All grams of an id array that predict its second and later ids.
+
+    Shifted copies of the array stand side by side, so each is cut once a row: inside a lambda the padded array
+    would be built again for every gram.
+    """
     padded = F.concat(F.array_repeat(F.lit(START), order - 1), ids)
-    steps = F.when(F.size(ids) > 1, F.sequence(F.lit(2), F.size(ids)))
-    return F.transform(steps, lambda i: F.slice(padded, i, F.lit(order)))
+    steps = F.greatest(F.size(ids) - 1, F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(padded, F.lit(2 + j), steps) for j in range(order)])
+    return F.transform(shifted, lambda g: F.array(*[g[str(j)] for j in range(order)]))
 
 
 def _context(order: int) -> Column:
@@ -76,11 +81,13 @@ def fit_kneser_ney(df: DataFrame, vocab_size: int, ids: str = "ids", order: int
     for k in range(2, order + 1):
         discount = _discount(counts[k])
         totals = counts[k].groupBy(_context(k).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        totals = land(totals.select("context", "total", (discount * F.col("kinds") / F.col("total")).alias("left")), "contexts")
+        totals = land(totals.select("context", "total", "kinds", (discount * F.col("kinds") / F.col("total")).alias("left")), "contexts")
         contexts[k] = totals.select("context", "left")
-        with_keys = land(counts[k].select("gram", "n", _context(k).alias("context"), _lower(k).alias("lower")), "keys")
-        met = land(salted_lookup(with_keys, totals, "context", "gram"), "met")
-        under = salted_lookup(met, grams[k - 1].withColumnsRenamed({"gram": "lower", "p": "below"}), "lower", "gram")
+        # both tables know how many grams ask for each of their rows, so the grams go through both joins in one pass
+        with_keys = counts[k].select("gram", "n", _context(k).alias("context"), _lower(k).alias("lower"))
+        met = salted_lookup(with_keys, totals.drop("kinds"), "context", "gram", totals.select("context", F.col("kinds").alias("_n")))
+        asking = counts[k - 1].select(F.col("gram").alias("lower"), F.col("n").alias("_n"))
+        under = salted_lookup(met, grams[k - 1].withColumnsRenamed({"gram": "lower", "p": "below"}), "lower", "gram", asking)
         p = (F.col("n") - discount) / F.col("total") + F.col("left") * F.col("below")
         grams[k] = land(under.select("gram", p.alias("p")), "probabilities")
     return KneserNey(order, grams, contexts, floor)

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1_000
 
 
-def salted_lookup(rows: DataFrame, lookup: DataFrame, on: str, spread_by: str) -> DataFrame:
+def salted_lookup(rows: DataFrame, lookup: DataFrame, on: str, spread_by: str, counts: DataFrame | None = None) -> DataFrame:
     """Left join in which the rows of a hot key are dealt over several copies of its lookup row.
 
-    Hot keys are found by counting ``rows``, which are read more than once: pass a written table. The share
-    a group may hold does not depend on the size of the input. ``spread_by`` tells the rows of a key apart.
+    Hot keys are found by counting ``rows``, which are read more than once then: pass a written table. Where the number of
+    rows of each key is known already, ``counts`` gives it as a written table (``on``, ``_n``), and ``rows`` are read once. The
+    share a group may hold does not depend on the size of the input. ``spread_by`` tells the rows of a key apart.
     """
-    counts = rows.groupBy(on).agg(F.count("*").alias("_n"))
+    if counts is None:
+        counts = rows.groupBy(on).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     salts = F.ceil(F.col("_n") * HOT_SHARE / total).cast("int")
     hot = F.broadcast(counts.where(F.col("_n") * HOT_SHARE > total).select(on, salts.alias("_salts")))

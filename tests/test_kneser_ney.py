@@ -5,12 +5,15 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.operators.bootstrap import bootstrap_means, intervals, poisson_steps
-from corpusloom.operators.kneser_ney import fit_kneser_ney, gram_probabilities, kneser_ney_loss
+from corpusloom.operators.kneser_ney import _grams, fit_kneser_ney, gram_probabilities, kneser_ney_loss
+from corpusloom.operators.lookup import salted_lookup
 
 
 def plain_model(texts, vocab, order):
@@ -107,3 +110,21 @@ def test_intervals_equal_plain_resampling(spark):
             wanted[metric, model] = pytest.approx((means[model, 0], ranked[1], ranked[48]))
     found = intervals(bootstrap_means(df, replicates=50, seed=5), share=0.9)
     assert {(r.metric, r.model): (r.value, r.low, r.high) for r in found.collect()} == wanted
+
+
+def test_a_long_text_is_cut_into_grams_in_linear_time(spark):
+    """Building the padded array again for each gram would copy 40 billion ids here."""
+    rows = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(200_000)), lambda i: i % 50).alias("ids"))
+    begun = time.monotonic()
+    found = rows.select(F.explode(_grams(F.col("ids"), 3)).alias("gram")).agg(F.count("*").alias("n"), F.count_distinct("gram").alias("kinds"), F.max(F.size("gram")).alias("width")).first()
+    # 50 kinds in the turn, and the first gram with its mark before it
+    assert tuple(found) == (199_999, 51, 3)
+    assert time.monotonic() - begun < 20
+
+
+def test_lookup_takes_known_counts(spark):
+    rows = spark.createDataFrame([(i % 3 and 1, i) for i in range(3000)], "a int, b int")
+    table = spark.createDataFrame([(0, "x"), (1, "y"), (7, "z")], "a int, v string")
+    known = spark.createDataFrame([(0, 1000), (1, 2000), (7, 0)], "a int, _n long")
+    found = [sorted(map(tuple, salted_lookup(rows, table, "a", "b", c).collect())) for c in (None, known)]
+    assert found[0] == found[1] == sorted((i % 3 and 1, i, "y" if i % 3 else "x") for i in range(3000))
