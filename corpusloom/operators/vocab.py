@@ -2,7 +2,7 @@
 
 Encoding is one lookup per token of the corpus. A vocabulary of bounded size travels to the tasks once,
 as an Arrow array, and whole batches are looked up with Arrow kernels: no row per token is ever
-shuffled. A larger table is joined instead.
+shuffled. A larger table is joined instead, by the distinct tokens of blocks of rows.
 """
 
 from __future__ import annotations
@@ -14,14 +14,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.tokens import attention_mask, pad_block, wrap_block
 from ..session import land
-from .lookup import places, salted_lookup
+from .lookup import places
 
 # Largest vocabulary sent to every task: half a million words are some tens of megabytes.
 BROADCAST_WORDS = 500_000
+# Neighbouring rows that look their elements up together in a larger vocabulary, a power of two; a row of more elements
+# than BLOCK_WORDS is a block of its own, so a block holds at most 16 million and a worker keeps one block at a time.
+BLOCK_ROWS = 1 << 11
+BLOCK_WORDS = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -175,23 +180,32 @@ def decode_ids(df: DataFrame, vocab: Vocab, ids: str = "ids", out: str = "decode
 
 
 def _replace_by_join(df: DataFrame, source: str, table: DataFrame, default: Column, out: str) -> DataFrame:
-    """Array elements looked up by a salted join, once per distinct element of a row, then put back in order.
+    """Array elements looked up by a join, once per distinct element of a block of neighbouring rows.
 
-    Rows are written once with a number of their own, so their identity does not hang on a caller's key.
+    Rows are written once with a number of their own, which says their block. The distinct elements of each block meet the
+    table, and what they find goes to the rows of the block: only rows move whole, no row per element does. An element
+    asks once a block, so a frequent one does not crowd the join.
     """
     numbered = land(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    cells = (
-        numbered.select("_row", F.posexplode(source).alias("_pos", "_word"))
-        .groupBy("_row", "_word")
-        .agg(F.collect_list("_pos").alias("_at"))
-    )
-    found = salted_lookup(land(cells, "cells"), table, "_word", "_row").select(
-        "_row", F.explode("_at").alias("_pos"), F.coalesce("_value", default).alias("_value")
-    )
-    rows = found.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "_value"))).alias("_cells"))
-    # a row without elements has nothing to explode: it comes back through the left join
-    filled = F.when(F.col(source).isNotNull(), F.coalesce("_cells._value", F.array()))
-    return numbered.join(rows, "_row", "left").withColumn(out, filled).drop("_cells", "_row")
+    own = F.coalesce(F.size(source) > BLOCK_WORDS, F.lit(False))
+    block = F.when(own, F.col("_row")).otherwise(F.col("_row") - F.col("_row").bitwiseAND(F.lit(BLOCK_ROWS - 1)))
+    dealt = numbered.withColumn("_block", block).drop("_row")
+    asked = dealt.select(F.col("_block").alias("_asker"), F.explode(source).alias("_word")).where("_word IS NOT NULL").distinct()
+    given = asked.join(table, "_word").select("_asker", "_word", "_value")
+    values = T.ArrayType(table.schema["_value"].dataType)
+    kept = [c for c in df.columns if c != out]
+    schema = T.StructType([*(numbered.schema[c] for c in kept), T.StructField("_found", values)])
+    cast = pa.int32() if isinstance(values.elementType, T.IntegerType) else pa.string()
+
+    def look_up(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
+        lists = rows[source].combine_chunks()
+        at = pc.index_in(lists.flatten(), value_set=found["_word"].combine_chunks())
+        filled = _rebuild(lists, found["_value"].combine_chunks().cast(cast).take(at))
+        return rows.select(kept).append_column("_found", filled)
+
+    met = dealt.groupBy("_block").cogroup(given.groupBy("_asker")).applyInArrow(look_up, schema)
+    filled = met.withColumn(out, F.transform("_found", lambda v: F.coalesce(v, default))).drop("_found")
+    return filled.select(*df.columns) if out in df.columns else filled
 
 
 def to_blocks(

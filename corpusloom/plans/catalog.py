@@ -405,7 +405,8 @@ def k2_token_count(spark, folder):
 
 
 def _document_vocab(spark, folder):
-    rows = texts(spark, folder).transform(tokenized)
+    # the texts stay behind: a larger vocabulary moves whole rows
+    rows = texts(spark, folder).transform(tokenized).drop("text")
     return rows, vocab.build_vocab(rows)
 
 
@@ -528,14 +529,14 @@ def k4_ids_joined(spark, folder):
 def k6_decode_joined(spark, folder):
     rows, words = _document_vocab(spark, folder)
     large = vocab.Vocab.from_table(land(words.table, "vocab"), limit=0)
-    decoded = vocab.decode_ids(vocab.encode_ids(rows, words), large, out="out")
+    decoded = vocab.decode_ids(vocab.encode_ids(rows, words).select("doc_id", "ids"), large, out="out")
     return decoded.select("doc_id", "out")
 
 
 @query
 def k6_decode(spark, folder):
     rows, words = _document_vocab(spark, folder)
-    decoded = vocab.decode_ids(vocab.encode_ids(rows, words), words, out="out")
+    decoded = vocab.decode_ids(vocab.encode_ids(rows, words).select("doc_id", "ids"), words, out="out")
     return decoded.select("doc_id", "out")
 
 
@@ -602,7 +603,7 @@ def b3_metric_stream(spark, folder):
 def _encoded_lyrics(spark, folder):
     """English titled documents as ids over the vocabulary of the training side."""
     rows = titled_lyrics(lyrics(spark, folder), "doc_id", sep=LINE).select("doc_id", "is_test", "text")
-    rows = rows.transform(tokenized)
+    rows = rows.transform(tokenized).drop("text")
     words = vocab.build_vocab(rows.where(~F.col("is_test")), added=())
     return vocab.encode_ids(rows, words).select("doc_id", "is_test", "ids"), words
 

@@ -86,5 +86,5 @@ def land(df: DataFrame, label: str) -> DataFrame:
     only the tasks it was running.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

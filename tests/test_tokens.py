@@ -221,3 +221,25 @@ def test_chat_block_of_a_long_conversation_equals_the_cut_of_its_whole_string(sp
         strings = tokenized(dialog_strings(turns), "out", reserved=marks)
         whole = vb.to_blocks(strings, words, block=block).collect()
         assert found == {r.conv_id: r.input_ids for r in whole}
+
+
+def test_a_larger_vocabulary_is_asked_once_a_block(spark, monkeypatch):
+    """Only rows are written and only the block's distinct elements are joined, not the elements of each row."""
+    monkeypatch.setattr(vb, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(vb, "BLOCK_WORDS", 30)
+    written, land = [], vb.land
+    monkeypatch.setattr(vb, "land", lambda df, label: written.append((label, df.count())) or land(df, label))
+    texts = [[f"w{(i * 7 + j) % 23}" for j in range(i % 41)] for i in range(60)] + [None, [], [None, "w1", "outside"], ["w1", "w1"], ["w1", "w1"]]
+    rows = [(None if i % 9 == 0 else i % 5, x, {"k": [i]}) for i, x in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>, more map<string, array<int>>").coalesce(2)
+    words = [(0, "[UNK]"), *((i + 1, f"w{i}") for i in range(23))]
+    table = vb.Vocab.from_table(spark.createDataFrame(words, "id int, token string"), limit=0)
+    ids = {w: i for i, w in words}
+    encoded = vb.encode_ids(df, table)
+    assert written == [("rows", len(rows))]
+    assert encoded.columns == ["id", "tokens", "more", "ids"]
+    expected = sorted((repr(i), repr(x), repr(m), repr(x and [ids.get(w, 0) for w in x])) for i, x, m in rows)
+    assert sorted(tuple(map(repr, r)) for r in encoded.collect()) == expected
+    assert vb.encode_ids(df, table, out="tokens").columns == df.columns
+    back = vb.decode_ids(encoded.select("ids"), table).collect()
+    assert sorted(repr(r.decoded) for r in back) == sorted(repr(x if x is None else " ".join(w if w in ids else "[UNK]" for w in x)) for x in texts)
