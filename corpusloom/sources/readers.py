@@ -142,8 +142,8 @@ def _list_songs(root: str):
     return run
 
 
-def _read_songs(root: str):
-    """Task function: files to their texts, in batches of bounded size."""
+def _read_songs(root: str, escaped: bool):
+    """Task function: files to their texts, in batches of bounded size; ``escaped`` names become values again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -158,7 +158,8 @@ def _read_songs(root: str):
             for row in batch.to_pylist():
                 with system.open_input_stream(f"{place}/{row['artist']}/{row['name']}") as file:
                     text = file.readall().decode("utf-8", "replace")
-                rows.append((row["artist"], row["name"], text))
+                names = row["artist"], row["name"]
+                rows.append((*((unescaped(names[0]), unescaped(names[1].removesuffix(".txt"))) if escaped else names), text))
                 size += len(text)
                 if size > 8 << 20:
                     yield packed(rows)
@@ -169,11 +170,6 @@ def _read_songs(root: str):
     return run
 
 
-@F.arrow_udf(T.StringType())
-def _unescaped(names: pa.Array) -> pa.Array:
-    return pa.array([unescaped(n) for n in names.to_pylist()], pa.string())
-
-
 def read_text_tree(spark: SparkSession, root: str, escaped: bool = False) -> DataFrame:
     """``artist, song, text`` from ``root/<artist>/<song>.txt``; files directly under the root are skipped.
 
@@ -189,12 +185,12 @@ def read_text_tree(spark: SparkSession, root: str, escaped: bool = False) -> Dat
     artists = [f.base_name for f in system.get_file_info(fs.FileSelector(place)) if not f.is_file]
     names = spark.createDataFrame([(a,) for a in sorted(artists)], "artist string").repartition("artist")
     files = names.mapInArrow(_list_songs(root), "artist string, name string")
-    # a song is dealt by its own name, so that an artist with very many is read by many tasks
-    read = files.repartition("artist", "name").mapInArrow(_read_songs(root), "artist string, name string, value string")
-    artist, song = F.col("artist"), F.regexp_replace("name", r"\.txt$", "")
-    if escaped:
-        artist, song = _unescaped(artist), _unescaped(song)
-    return read.select(artist.alias("artist"), song.alias("song"), normalize_newlines(F.col("value")).alias("text"))
+    # a song is dealt by its own name, so that an artist with very many is read by many tasks; their number is given, since
+    # names are short and Spark would otherwise join them into one task, which read all texts
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read = files.repartition(tasks, "artist", "name").mapInArrow(_read_songs(root, escaped), "artist string, name string, value string")
+    song = F.col("name") if escaped else F.regexp_replace("name", r"\.txt$", "")
+    return read.select("artist", song.alias("song"), normalize_newlines(F.col("value")).alias("text"))
 
 
 def read_prompts(spark: SparkSession, source: str | list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ import os
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusloom.sources.names import escaped, unescaped
 from corpusloom.sources.readers import read_text_tree
@@ -69,3 +70,11 @@ def test_a_stream_reads_each_file_once(spark, tmp_path):
     arrive("c", "four", "4", now + 1_000_000)
     assert drain() == sorted([*first, ("a", "three", "3"), ("c", "four", "4")])
     assert drain() == sorted([*first, ("a", "three", "3"), ("c", "four", "4")])
+
+
+def test_songs_are_read_by_many_tasks(spark, tmp_path):
+    df = spark.range(40).selectExpr("'a' AS artist", "cast(id AS string) AS song", "'x' AS text")
+    found = read_text_tree(spark, write_text_tree(df, str(tmp_path / "tree")))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = found.select("song", F.spark_partition_id().alias("part")).collect()
+    assert len(rows) == 40 and (tasks == 1 or len({r.part for r in rows}) > 1)
