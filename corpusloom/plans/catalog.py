@@ -422,7 +422,7 @@ def _joined(ids: str):
 @query
 def k4_ids(spark, folder):
     rows, words = _document_vocab(spark, folder)
-    return vocab.encode_ids(rows, words).select("doc_id", _joined("ids").alias("out"))
+    return vocab.encode_ids(rows, words, keep=False).select("doc_id", _joined("ids").alias("out"))
 
 
 @query
@@ -441,7 +441,7 @@ def k5_block(spark, folder):
 def k5_packed(spark, folder):
     """Documents packed into full blocks and read back: every id once, in its place."""
     rows, words = _document_vocab(spark, folder)
-    blocks = packing.pack_blocks(vocab.encode_ids(rows, words).select("doc_id", "ids"), pad=words.pad)
+    blocks = packing.pack_blocks(vocab.encode_ids(rows, words, keep=False).select("doc_id", "ids"), pad=words.pad)
     parts = packing.unpack_blocks(blocks).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts"))
     return parts.select("doc_id", F.size("parts").alias("n_parts"), _joined(F.flatten("parts.ids")).alias("out"))
 
@@ -522,21 +522,21 @@ def k4_subwords(spark, folder):
 def k4_ids_joined(spark, folder):
     rows, words = _document_vocab(spark, folder)
     words = vocab.Vocab.from_table(land(words.table, "vocab"), limit=0)
-    return vocab.encode_ids(rows, words).select("doc_id", _joined("ids").alias("out"))
+    return vocab.encode_ids(rows, words, keep=False).select("doc_id", _joined("ids").alias("out"))
 
 
 @query
 def k6_decode_joined(spark, folder):
     rows, words = _document_vocab(spark, folder)
     large = vocab.Vocab.from_table(land(words.table, "vocab"), limit=0)
-    decoded = vocab.decode_ids(vocab.encode_ids(rows, words).select("doc_id", "ids"), large, out="out")
+    decoded = vocab.decode_ids(vocab.encode_ids(rows, words, keep=False).select("doc_id", "ids"), large, out="out", keep=False)
     return decoded.select("doc_id", "out")
 
 
 @query
 def k6_decode(spark, folder):
     rows, words = _document_vocab(spark, folder)
-    decoded = vocab.decode_ids(vocab.encode_ids(rows, words).select("doc_id", "ids"), words, out="out")
+    decoded = vocab.decode_ids(vocab.encode_ids(rows, words, keep=False).select("doc_id", "ids"), words, out="out", keep=False)
     return decoded.select("doc_id", "out")
 
 
@@ -605,7 +605,7 @@ def _encoded_lyrics(spark, folder):
     rows = titled_lyrics(lyrics(spark, folder), "doc_id", sep=LINE).select("doc_id", "is_test", "text")
     rows = rows.transform(tokenized).drop("text")
     words = vocab.build_vocab(rows.where(~F.col("is_test")), added=())
-    return vocab.encode_ids(rows, words).select("doc_id", "is_test", "ids"), words
+    return vocab.encode_ids(rows, words, keep=False).select("doc_id", "is_test", "ids"), words
 
 
 def _models(spark, folder):
@@ -616,7 +616,7 @@ def _models(spark, folder):
     rows, words = _encoded_lyrics(spark, folder)
     rows = land(rows, "ids")
     passages = load(spark, folder, "benchmark").transform(tokenized)
-    background = land(ngram.fit_ngram(vocab.encode_ids(passages, words)), "background")
+    background = land(ngram.fit_ngram(vocab.encode_ids(passages, words, keep=False)), "background")
     domain = ngram.fit_ngram(rows.where(~F.col("is_test")))
     adapted = land(ngram.merge_ngram(background, domain), "adapted")
     return rows.where(F.col("is_test")), words.size, {"original": background, "finetuned": adapted}

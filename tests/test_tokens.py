@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,3 +244,42 @@ def test_a_larger_vocabulary_is_asked_once_a_block(spark, monkeypatch):
     assert vb.encode_ids(df, table, out="tokens").columns == df.columns
     back = vb.decode_ids(encoded.select("ids"), table).collect()
     assert sorted(repr(r.decoded) for r in back) == sorted(repr(x if x is None else " ".join(w if w in ids else "[UNK]" for w in x)) for x in texts)
+
+
+def test_only_words_beyond_the_first_are_asked_for_and_rows_move_as_numbers(spark, monkeypatch):
+    """Of a larger vocabulary the first words are looked up in the tasks; neither frequent words nor the tokens are written or joined."""
+    monkeypatch.setattr(vb, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(vb, "BLOCK_WORDS", 40)
+    texts = [[f"w{(i * 7 + j * j) % 31}" for j in range(i % 29)] for i in range(50)] + [None, [], [None, "w1", "outside"], ["w1", "w1"], ["w1", "w1"]]
+    df = spark.createDataFrame([(None if i % 9 == 0 else i % 5, x) for i, x in enumerate(texts)], "id int, tokens array<string>").coalesce(2)
+    learned = df.where("NOT array_contains(tokens, 'outside')")
+    small = vb.build_vocab(learned)
+    monkeypatch.setattr(vb, "BROADCAST_WORDS", 12)
+    large = vb.build_vocab(learned)
+    first = {r.token for r in small.table.where("id < 12").collect()}
+    assert large.words is None and large.head.to_pylist() == small.words.to_pylist()[:12]
+    written, land = [], vb.land
+    monkeypatch.setattr(vb, "land", lambda df, label: written.append(land(df, label)) or written[-1])
+    key = lambda r: repr(r)
+    found = vb.encode_ids(df, large, keep=False)
+    assert found.columns == ["id", "ids"]
+    assert sorted(map(key, found.collect())) == sorted(map(key, vb.encode_ids(df, small).select("id", "ids").collect()))
+    assert [c for c, kind in written[0].dtypes if "string" in kind] == ["_words"]
+    asked = [w for r in written[0].where("_words IS NOT NULL").collect() for w in r._words]
+    assert "outside" in asked and not first & set(asked) and len(asked) < sum(len(x or ()) for x in texts) / 2
+    ids = spark.createDataFrame([(r.ids,) for r in found.collect()] + [([-1, None, 10**6, small.size, 11, 12],)], "ids array<int>")
+    back, plain = (vb.decode_ids(ids, v, keep=False) for v in (large, small))
+    assert back.columns == ["decoded"] and sorted(map(key, back.collect())) == sorted(map(key, plain.collect()))
+    wide = ids.select(F.col("ids").cast("array<bigint>").alias("ids"))
+    assert sorted(map(key, vb.decode_ids(wide, large, keep=False).collect())) == sorted(map(key, plain.collect()))
+
+
+@pytest.mark.parametrize("rows, elements", [(3, 100), (100, 7), (4, 9)])
+def test_blocks_of_rows_are_closed_at_their_size_over_batches(rows, elements):
+    lists = [None if i % 7 == 0 else list(range(i % 6)) for i in range(40)] + [list(range(50)), [], None]
+    batches = [pa.RecordBatch.from_arrays([pa.array(lists[i : i + 5], pa.list_(pa.int32()))], names=["x"]) for i in range(0, len(lists), 5)]
+    parts = [p["x"].to_pylist() for p in vb._cut_blocks(iter([batches[0].slice(0, 0), *batches]), "x", rows, elements)]
+    assert [x for p in parts for x in p] == lists
+    sizes = [[len(x or ()) for x in p] for p in parts]
+    assert all(len(s) <= rows and sum(s[:-1]) < elements for s in sizes)
+    assert all(len(s) == rows or sum(s) >= elements for s in sizes[:-1])
