@@ -31,6 +31,7 @@ SAMPLE_TEXTS, SAMPLE_BYTES, SAMPLE_PASSES = 512, 1 << 16, 12  # of the start; lo
 TRAIN_BYTES = 1 << 22  # text that a task reads at once
 HELD = 1 << 18  # tokens whose state probabilities a task holds at once
 BLOCK_BYTES = 1 << 24  # text of a block
+ASK_BYTES = 1 << 20  # text that a task looks for distinct words at once
 CELL = 256  # classes of one row of summed counts
 END = np.uint64(0x5D0C0F7E11A9B3C7)  # stands for the end of a text
 
@@ -206,13 +207,17 @@ def fit_chain(texts: DataFrame, text: str = "text") -> Chain:
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block, token``: the distinct words of each block's part of a batch, from rows sorted by block."""
+    """``block, token``: the distinct words of each block's part of a batch, from rows sorted by block.
+
+    Texts are hashed in small pieces, since the working arrays are many times the text; a part still asks once.
+    """
     for batch in batches:
         blocks, texts = batch.column("block").to_numpy(), batch.column("text")
         begins = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else []
         for s, e in zip(begins, np.r_[begins[1:], len(blocks)].astype(int), strict=True):
-            for _, hashes, _ in _sequences(texts.slice(s, e - s), BLOCK_BYTES):
-                values = np.unique(hashes)
+            found = [np.unique(hashes) for _, hashes, _ in _sequences(texts.slice(s, e - s), ASK_BYTES)]
+            if found:
+                values = np.unique(np.concatenate(found))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), blocks[s])), pa.array(values.view(np.int64))], names=["block", "token"])
 
 

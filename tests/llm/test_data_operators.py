@@ -337,3 +337,18 @@ def test_placement_equals_draws_by_another_library(spark):
     docs = spark.createDataFrame([(k, "text") for k in keys], "doc_id long, text string")
     found = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.shard(docs, tree).collect()}
     assert found == {k: (plain_shard(k, tree), plain_shard(k, tree.grown())) for k in keys}
+
+
+def test_hmm_asks_once_a_block_but_hashes_small_pieces(monkeypatch):
+    """Working arrays of a whole block of 16 MB took most of an executor's memory."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 5_000, 1_500)) for _ in range(400)]
+    sizes, plain = [], hmm.words.word_hashes
+    monkeypatch.setattr(hmm.words, "word_hashes", lambda data, offsets: sizes.append(len(data)) or plain(data, offsets))
+    batch = pa.RecordBatch.from_arrays([pa.array([3] * 390 + [4] * 10), pa.array(texts)], names=["block", "text"])
+    found = list(hmm._ask(iter([batch])))
+    assert max(sizes) <= 1 << 20 < sum(map(len, texts[:390]))
+    assert [set(b.column("block").to_pylist()) for b in found] == [{3}, {4}]
+    for b, part in zip(found, (texts[:390], texts[390:]), strict=True):
+        tokens = b.column("token").to_pylist()
+        assert len(tokens) == len(set(tokens)) == len({w for t in part for w in t.split()}) + 1
