@@ -467,7 +467,7 @@ def lyrics_corpus(spark, folder):
     """CSV to blocks: the training side of the English songs, with titles."""
     rows = land(readers.read_lyrics_csv(spark, _lyrics_files(spark, folder)), "lyrics")
     train = titled_lyrics(rows).where("NOT is_test")
-    return _block_columns(lyrics_examples(rows, vocab.build_vocab(train.transform(tokenized))), "ordinal")
+    return _block_columns(lyrics_examples(rows, vocab.build_vocab(train.transform(tokenized)), with_text=False), "ordinal")
 
 
 @query
@@ -475,7 +475,7 @@ def news_corpus(spark, folder):
     """JSON records to blocks."""
     rows = land(_records(spark, folder), "news")
     words = vocab.build_vocab(tokenized(filters.keep_nonnull(rows, "output"), "output"))
-    return _block_columns(news_examples(rows, words), "ordinal")
+    return _block_columns(news_examples(rows, words, with_text=False), "ordinal")
 
 
 @query
@@ -483,7 +483,7 @@ def song_corpus(spark, folder):
     """A tree of text files to blocks: the songs of the training artists, each on one line."""
     rows = land(_songs(spark, folder), "songs")
     flat = rows.select(tx.flatten_lines(F.col("text")).alias("text"))
-    return _block_columns(song_examples(rows, vocab.build_vocab(tokenized(flat))), "song_id")
+    return _block_columns(song_examples(rows, vocab.build_vocab(tokenized(flat)), with_text=False), "song_id")
 
 
 @query

@@ -44,12 +44,17 @@ def tokenized(df: DataFrame, text: str = "text", lower: bool = True, reserved=()
     return once(df, "tokens", pretokenize(F.col(text), lower, reserved))
 
 
+def _tokens(rows: DataFrame, with_text: bool) -> DataFrame:
+    found = tokenized(rows)
+    return found if with_text else found.drop("text")
+
+
 def lyrics_examples(
-    df: DataFrame, vocab: Vocab, order: str = "ordinal", block: int = fixed.BLOCK, **options
+    df: DataFrame, vocab: Vocab, order: str = "ordinal", block: int = fixed.BLOCK, with_text: bool = True, **options
 ) -> DataFrame:
-    """Titled lyrics of the training side, as blocks."""
+    """Titled lyrics of the training side, as blocks; without ``with_text`` a larger vocabulary moves no texts."""
     rows = titled_lyrics(df, order, **options).where(~F.col("is_test"))
-    return to_blocks(tokenized(rows.select(order, "text")), vocab, block=block)
+    return to_blocks(_tokens(rows.select(order, "text"), with_text), vocab, block=block)
 
 
 def news_examples(
@@ -59,13 +64,14 @@ def news_examples(
     key: str = "ordinal",
     block: int = fixed.BLOCK,
     reserve: int = fixed.MARKS,
+    with_text: bool = True,
 ) -> DataFrame:
     """News bodies that are present, wrapped in opening and closing marks.
 
     The block is first shortened by ``reserve`` for the marks, and the marks then stand inside it.
     """
     rows = keep_nonnull(df, field).select(key, F.col(field).alias("text"))
-    return to_blocks(tokenized(rows), vocab, block=block, reserve=reserve, wrap=True)
+    return to_blocks(_tokens(rows, with_text), vocab, block=block, reserve=reserve, wrap=True)
 
 
 def chat_examples(
@@ -119,12 +125,13 @@ def song_examples(
     reserve: int = fixed.MARKS,
     k_train: int = fixed.HELD_OUT_GROUPS,
     k_eval: int = fixed.EVALUATED_GROUPS,
+    with_text: bool = True,
 ) -> DataFrame:
     """Flattened songs of the training groups, wrapped, in blocks shortened by ``reserve`` as for news."""
     rows = group_holdout(df, group, k_train, k_eval).where(F.col("role") == "train")
     song_id = F.concat_ws("/", group, key).alias("song_id")
     flat = rows.select(group, key, song_id, flatten_lines(F.col(text)).alias("text"))
-    return to_blocks(tokenized(flat), vocab, block=block, reserve=reserve, wrap=True)
+    return to_blocks(_tokens(flat, with_text), vocab, block=block, reserve=reserve, wrap=True)
 
 
 def split_report(df: DataFrame, order: str, title: str, body: str, k: int = fixed.TEST_ROWS) -> DataFrame:

@@ -283,3 +283,15 @@ def test_blocks_of_rows_are_closed_at_their_size_over_batches(rows, elements):
     sizes = [[len(x or ()) for x in p] for p in parts]
     assert all(len(s) <= rows and sum(s[:-1]) < elements for s in sizes)
     assert all(len(s) == rows or sum(s) >= elements for s in sizes[:-1])
+
+
+def test_blocks_of_a_larger_vocabulary_move_no_texts(spark, monkeypatch):
+    news = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} said") for i in range(20)], "ordinal long, output string")
+    monkeypatch.setattr(vb, "BROADCAST_WORDS", 5)
+    words = vb.build_vocab(tokenized(news, "output"))
+    written, land = [], vb.land
+    monkeypatch.setattr(vb, "land", lambda df, label: written.append(df.columns) or land(df, label))
+    plain = news_examples(news, words, block=12).drop("text")
+    lean = news_examples(news, words, block=12, with_text=False)
+    assert "text" in written[0] and not {"text", "_kept"} & set(written[1]) and lean.columns == plain.columns
+    assert sorted(map(tuple, lean.collect())) == sorted(map(tuple, plain.collect()))
