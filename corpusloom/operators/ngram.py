@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..session import land
 
 # A pair above one in HOT_SHARE of all counts is looked up by broadcast: there are at most that many.
 HOT_SHARE = 1_000
+# Pairs that a task counts at a time; nearly every pair of a text is new, so what a task holds must not follow its share of the input.
+PIECE = 1 << 22
 
 
 def _pairs(ids: Column) -> Column:
@@ -18,10 +26,46 @@ def _pairs(ids: Column) -> Column:
     return F.arrays_zip(F.slice(ids, F.lit(1), steps), F.slice(ids, F.lit(2), steps))
 
 
+def _adjacent(lists: pa.Array) -> pa.Table:
+    """``a, b`` of the adjacent elements of each list; pairs whose first element is NULL are left out."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    flat, row = lists.flatten(), np.repeat(np.arange(len(lengths)), lengths)
+    first, second = flat.slice(0, max(len(flat) - 1, 0)), flat.slice(1)
+    kept = pc.and_(pa.array(row[:-1] == row[1:]), first.is_valid())
+    return pa.table({"a": first.filter(kept), "b": second.filter(kept)})
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``a, b, n`` of a task's rows, counted whenever so many pairs have come together."""
+    held, size = [], 0
+    for batch in batches:
+        pairs = _adjacent(batch.column(0))
+        held.append(pairs)
+        size += len(pairs)
+        if size >= PIECE:
+            yield from _counted(held)
+            held, size = [], 0
+    if size:
+        yield from _counted(held)
+
+
+def _counted(held: list[pa.Table]) -> list[pa.RecordBatch]:
+    counts = pa.concat_tables(held).group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
+    # neighbours of one context pack into fewer shuffled bytes
+    ordered = counts.select(["a", "b", "count_all"]).rename_columns(["a", "b", "n"]).sort_by("a")
+    return ordered.to_batches(max_chunksize=1 << 16)
+
+
 def fit_ngram(df: DataFrame, ids: str = "ids") -> DataFrame:
-    """``a, b, n``: adjacent id pairs and how often they occur, combined before the shuffle."""
-    pairs = df.select(F.inline_outer(_pairs(F.col(ids))).alias("a", "b")).where("a IS NOT NULL")
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    """``a, b, n``: adjacent id pairs and how often they occur.
+
+    Tasks count their pairs in pieces of bounded size before the shuffle, whatever the splits of the input are. The
+    pieces' counts are dealt by pair and added up behind the shuffle only: a sum before it would hold all of a task's pairs again.
+    """
+    element = df.schema[ids].dataType.elementType
+    schema = T.StructType([T.StructField("a", element), T.StructField("b", element), T.StructField("n", T.LongType())])
+    pieces = df.select(ids).mapInArrow(_count_pairs, schema)
+    return pieces.repartition("a", "b").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def merge_ngram(background: DataFrame, domain: DataFrame) -> DataFrame:

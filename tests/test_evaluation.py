@@ -117,6 +117,22 @@ def test_ngram_counts_and_merge(spark):
     assert {(r.a, r.b): r.n for r in merged.collect()} == pair_counts(DOCS) + pair_counts(TEST)
 
 
+@pytest.mark.parametrize("piece", [1, 3, 1 << 22])
+@pytest.mark.parametrize("kind", ["int", "long"])
+def test_a_task_counts_its_pairs_in_pieces(spark, monkeypatch, piece, kind):
+    monkeypatch.setattr(ngram, "PIECE", piece)
+    docs = [*DOCS, None, [None, 4, None, None, 5], [4, None], [None]]
+    df = spark.createDataFrame([(d,) for d in docs], f"ids array<{kind}>").coalesce(1)
+    found = ngram.fit_ngram(df)
+    assert [f.dataType.simpleString() for f in found.schema] == [kind if kind == "int" else "bigint"] * 2 + ["bigint"]
+    # a pair without a first element is none, one without a second is counted
+    assert {(r.a, r.b): r.n for r in found.collect()} == pair_counts(DOCS) + Counter({(4, None): 2})
+    # no count before the shuffle holds all pairs of a task
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.index("Exchange") : plan.index("MapInArrow")]
+    assert ngram.fit_ngram(df.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("hot_share", [1_000, 1, 4])
 @pytest.mark.parametrize("context", [1024, 3])
 def test_document_loss(spark, monkeypatch, hot_share, context):
